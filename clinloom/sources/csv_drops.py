@@ -22,21 +22,31 @@ def read_csv_drop(
     modified_after: dt.datetime | str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """All files below ``base/prefix`` whose path matches ``pattern``, all columns as text, names from the header.
+    """All files below ``base/prefix`` whose path matches ``pattern``, all columns as text.
 
+    Names come from ``columns`` or from the header of one matching file; a file with another header fails the read.
     The pattern is applied to the file path while files are listed, so other files are not opened. Files changed
     before ``modified_after`` are left out. ``multi_line`` allows line breaks inside quotes, at the price of
     reading each file in one task.
     """
-    options = {"header": True, "sep": delimiter, "recursiveFileLookup": True, "multiLine": multi_line, **QUOTING}
+    path = f"{base.rstrip('/')}/{prefix}"
+    listing = {"recursiveFileLookup": True}
     if modified_after is not None:
-        options["modifiedAfter"] = _iso(modified_after)
-    reader = spark.read.options(**options)
-    if columns:
-        names = ", ".join(f"`{c}` string" for c in columns)
-        reader = reader.schema(names).option("enforceSchema", False)
-    rows = reader.csv(f"{base.rstrip('/')}/{prefix}")
-    return rows.where(F.col("_metadata.file_path").rlike(pattern))
+        listing["modifiedAfter"] = _iso(modified_after)
+    options = {"header": True, "sep": delimiter, "multiLine": multi_line, **QUOTING}
+    names = columns or _header(spark, path, pattern, listing, options)
+    schema = ", ".join(f"`{name}` string" for name in names)
+    reader = spark.read.options(**listing, **options, enforceSchema=False).schema(schema)
+    return reader.csv(path).where(F.col("_metadata.file_path").rlike(pattern))
+
+
+def _header(spark: SparkSession, path: str, pattern: str, listing: dict, options: dict) -> list[str]:
+    """Column names of one matching file; the listing does not read file contents."""
+    files = spark.read.format("binaryFile").options(**listing).load(path)
+    found = files.select("path").where(F.col("path").rlike(pattern)).first()
+    if found is None:
+        raise FileNotFoundError(f"no file below {path} matches {pattern}")
+    return spark.read.options(**options).csv(found.path).columns
 
 
 def _iso(moment: dt.datetime | str) -> str:

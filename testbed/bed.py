@@ -7,8 +7,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinloom.functions import iso_timestamp
+from clinloom.operators import hl7
 from clinloom.operators.keyed import with_load_metadata
 from clinloom.plans import staging
+from clinloom.sources.csv_drops import contact_rows
+from clinloom.sources.documents import raw_resources
 from testbed.flat import BASE_TABLES, LABS, LAB_HIGH, LAB_LOW, REVIEW_KEY, flat_sql, lab_value, padded
 
 LOADED_AT = dt.datetime(2026, 1, 31, 6, 0, 0)
@@ -177,6 +181,42 @@ class Bed:
             .unionByName(self.other_messages())
         )
 
+    # Raw tables and staging models
+
+    def raw(self, table: str, arrays_as_json: bool = False) -> DataFrame:
+        """A raw table as the loaders would leave it, but lazy and unwritten."""
+        documents = {
+            "fhir_patients": self.patients,
+            "fhir_appointments": self.appointments,
+            "fhir_encounters": self.encounters,
+        }
+        messages = {
+            "hl7_admissions": self.admission_messages,
+            "hl7_discharges": self.discharge_messages,
+            "hl7_lab_results": self.lab_messages,
+        }
+        if table in documents:
+            rows = raw_resources(documents[table](), arrays_as_json)
+        elif table in messages:
+            rows = hl7.PARSERS[table](hl7.route(hl7.with_header(messages[table]()))[table])
+        elif table == "contacts":
+            rows = self.contacts().withColumn("lastmodifieddate", iso_timestamp("updatedAt"))
+        elif table == "contacts_csv":
+            rows = contact_rows(self.contacts())
+        else:
+            rows = self.flat(table)
+        return self.loaded(rows)
+
+    def staged(self, model: str) -> DataFrame:
+        table, build = staging.STAGING[model]
+        return build(self.raw(table))
+
+    def pages(self, records: DataFrame, number: Column, envelope: str, inner: str | None = None) -> DataFrame:
+        """Records in page documents of 50; ``number`` counts the records up."""
+        record = F.struct("*") if inner is None else F.struct(F.struct("*").alias(inner))
+        paged = records.select(F.floor(number / 50).alias("page"), record.alias("record"))
+        return paged.groupBy("page").agg(F.collect_list("record").alias(envelope)).drop("page")
+
 
 def _no_id() -> Column:
     return F.lit(None).cast("struct<system: string, value: string>").alias("identifier")

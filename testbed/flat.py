@@ -159,7 +159,7 @@ FLAT: dict[str, str] = {
         from {{customer}}""",
     "deals": """
         select cast(o_orderkey as string) as id, concat('Deal ', cast(o_orderkey as string)) as dealname,
-          cast(cast(o_totalprice as bigint) as string) as amount, lower(o_orderstatus) as dealstage,
+          cast(cast(floor(o_totalprice) as bigint) as string) as amount, lower(o_orderstatus) as dealstage,
           case when o_orderkey % 3 <> 0 then cast(o_custkey as string) end as contact_id
         from {orders}""",
 }
