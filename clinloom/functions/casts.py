@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 UUID_TEXT = r"^(\{([0-9a-f]{4}-?){7}[0-9a-f]{4}\}|([0-9a-f]{4}-?){7}[0-9a-f]{4})$"
 UUID_GROUPS = r"^(.{8})(.{4})(.{4})(.{4})(.{12})$"
+# Leading digits of an HL7 time in one of its precisions, year to second.
+HL7_DIGITS = r"^\d{14}|^\d{4}(?:\d{2}){0,4}(?!\d)"
 HL7_PARTS = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$"
-HL7_DEFAULTS = "00000101000000"
+HL7_DEFAULTS = "????0101000000"
 
 
 def as_text(column: Column | str) -> Column:
@@ -37,10 +39,8 @@ def hl7_timestamp(column: Column | str) -> Column:
     Shorter precisions (year to minute) take the start of their period, anything after the seconds is ignored, and
     text that holds no valid time (such as the empty text of an absent field) is null.
     """
-    digits = F.substring(F.regexp_extract(_col(column), r"^\d+", 0), 1, 14)
-    filled = F.concat(digits, F.substring(F.lit(HL7_DEFAULTS), F.length(digits) + 1, F.lit(14)))
-    stamp = F.regexp_replace(filled, HL7_PARTS, "$1-$2-$3 $4:$5:$6")
-    return F.when(F.length(digits).isin(4, 6, 8, 10, 12, 14), stamp.try_cast("timestamp_ntz"))
+    filled = F.overlay(F.lit(HL7_DEFAULTS), F.regexp_extract(_col(column), HL7_DIGITS, 0), F.lit(1))
+    return F.regexp_replace(filled, HL7_PARTS, "$1-$2-$3 $4:$5:$6").try_cast("timestamp_ntz")
 
 
 def literal_date(value: dt.date | str) -> Column:

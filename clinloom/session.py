@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -39,6 +39,12 @@ def build_session(app: str = "clinloom", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A file scan with fewer splits than the cluster has cores, dealt out to all cores; a larger scan as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder path below the cluster's shared checkpoint folder.
 
