@@ -3,15 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000_000
 
-def left_join_many(one: DataFrame, many: DataFrame, on: list[str]) -> DataFrame:
-    """``one LEFT JOIN many`` where a single key may own a large share of ``many``.
 
-    AQE splits an oversized partition on either side of an inner join, but never on the right side of a left join.
-    So the matches come from an inner join, and the rows without a match from an anti join against the bare keys,
-    which are de-duplicated before they are shuffled.
+def left_join_many(one: DataFrame, many: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``one LEFT JOIN many`` on the keys, where a single key may own a large share of ``many``.
+
+    AQE never splits the right side of a left join. So keys with more than ``hot_rows`` rows in ``many`` are counted
+    (with partial sums before the shuffle) and salted: their rows in ``many`` are spread over enough salts by a hash of
+    the row, and each row of ``one`` with such a key meets all salts. A hot key has matches by definition, so a salt
+    that finds none is dropped without loss; all other keys keep the one salt 0 and the plain left join.
+
+    The list of hot keys cannot exceed ``many``'s rows / ``hot_rows``, a few megabytes for 10^11 rows, which bounds
+    its broadcast. Salts depend on row content alone and so survive recomputation.
     """
-    matched = one.join(many, on, "inner")
-    unmatched = one.join(many.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    known = many.dropna(subset=keys)
+    counted = known.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+    hot = F.broadcast(counted.select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_salts")))
+
+    salts = F.when(F.col("_salts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))
+    left = one.join(hot, keys, "left").withColumn("_salt", F.explode(salts))
+    own_salt = F.coalesce(F.pmod(F.xxhash64(*many.columns), F.col("_salts")), F.lit(0)).cast("int")
+    right = known.join(hot, keys, "left").select(*many.columns, own_salt.alias("_salt"), F.lit(True).alias("_met"))
+    met = F.col("_salts").isNull() | F.col("_met").isNotNull()
+    return left.join(right, [*keys, "_salt"], "left").where(met).drop("_salt", "_salts", "_met")

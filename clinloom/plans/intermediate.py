@@ -1,7 +1,8 @@
 """Intermediate models: joins across sources and daily metrics.
 
-Dimension-sized sides (providers) are joined without a hint: Catalyst or AQE broadcasts them while they are below the
-session's threshold and shuffles them beyond it.
+Lookups by a unique key (providers, patients) are plain left joins without a hint: Catalyst or AQE broadcasts the lookup
+while it is below the session's threshold, shuffles it beyond, and splits hot keys of the left side. Joins to many rows
+of one key go through ``left_join_many``, which leaves AQE free to split either side.
 """
 
 from __future__ import annotations
@@ -150,11 +151,8 @@ def int_appointment_utilization(appointments: DataFrame, encounters: DataFrame,
         "primary_diagnosis_code",
         "primary_diagnosis_desc",
     )
-    rows = (
-        appointments.withColumn("visit_day", F.col("scheduled_start").cast("date"))
-        .join(lookup, "provider_npi", "left")
-        .join(same_day, VISIT_DAY, "left")
-    )
+    days = appointments.withColumn("visit_day", F.col("scheduled_start").cast("date"))
+    rows = left_join_many(days, same_day, VISIT_DAY).join(lookup, "provider_npi", "left")
     return rows.select(
         "appointment_id",
         "appointment_status",
@@ -223,7 +221,7 @@ def paired_stays(admissions: DataFrame, discharges: DataFrame) -> DataFrame:
         "sending_facility",
     )
     admitted, discharged = F.col("admit_datetime"), F.col("discharge_datetime")
-    return stays.join(left, "visit_number", "left").withColumns(
+    return left_join_many(stays, left, ["visit_number"]).withColumns(
         {
             "adt_status": labelled([(discharged.isNotNull(), "discharged")], "admitted"),
             "length_of_stay_hours": hours_between(admitted, discharged),
@@ -249,7 +247,7 @@ def with_encounter(stays: DataFrame, encounters: DataFrame) -> DataFrame:
         "primary_diagnosis_code",
     )
     days = stays.withColumn("visit_day", F.col("admit_datetime").cast("date"))
-    return days.join(same_day, ["emr_patient_id", "attending_provider_npi", "visit_day"], "left").drop("visit_day")
+    return left_join_many(days, same_day, ["emr_patient_id", "attending_provider_npi", "visit_day"]).drop("visit_day")
 
 
 def int_patient_encounters(
