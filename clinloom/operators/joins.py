@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ def left_join_many(one: DataFrame, many: DataFrame, keys: list[str], hot_rows: i
     The list of hot keys cannot exceed ``many``'s rows / ``hot_rows``, a few megabytes for 10^11 rows, which bounds
     its broadcast. Salts depend on row content alone and so survive recomputation.
     """
-    known = many.dropna(subset=keys)
+    known = many.where(reduce(and_, [F.col(key).isNotNull() for key in keys]))
     counted = known.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
     hot = F.broadcast(counted.select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_salts")))
 

@@ -37,7 +37,8 @@ def ranked_in_buckets(df: DataFrame, key: str, name: str, rows: int, buckets: in
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     in_bucket = F.row_number().over(W.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_last()))
-    ranked = placed.withColumn("_in_bucket", in_bucket).join(F.broadcast(offsets), "_bucket")
+    # Every bucket has an offset; a left join says so without filtering the bucket expression a second time.
+    ranked = placed.withColumn("_in_bucket", in_bucket).join(F.broadcast(offsets), "_bucket", "left")
     return ranked.select((F.col("_in_bucket") + F.col("_before")).alias(name), *df.columns)
 
 

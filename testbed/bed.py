@@ -11,11 +11,13 @@ from clinloom.functions import iso_timestamp
 from clinloom.operators import hl7
 from clinloom.operators.keyed import with_load_metadata
 from clinloom.plans import staging
-from clinloom.session import spread
+from clinloom.session import scratch_dir, spread
 from clinloom.sources.csv_drops import contact_rows
 from clinloom.sources.documents import raw_resources
 from testbed.flat import BASE_TABLES, LABS, LAB_HIGH, LAB_LOW, REVIEW_KEY, flat_sql, lab_value, padded
 
+# (application, folder, raw table) -> where it was written.
+WRITTEN: dict[tuple[str, str, str], str] = {}
 SPREAD = ("orders", "lineitem", "events")
 LOADED_AT = dt.datetime(2026, 1, 31, 6, 0, 0)
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -187,8 +189,17 @@ class Bed:
 
     # Raw tables and staging models
 
-    def raw(self, table: str, arrays_as_json: bool = False) -> DataFrame:
-        """A raw table as the loaders would leave it, but lazy and unwritten."""
+    def raw(self, table: str) -> DataFrame:
+        """A raw table, written once for each session and folder, as the load jobs leave it for the models."""
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, table)
+        if place not in WRITTEN:
+            path = scratch_dir(self.spark, f"raw-{table}")
+            self.encoded(table).write.parquet(path)
+            WRITTEN[place] = path
+        return self.spark.read.parquet(WRITTEN[place])
+
+    def encoded(self, table: str, arrays_as_json: bool = False) -> DataFrame:
+        """The rows of a raw table by way of the documents or messages they come in; lazy."""
         documents = {
             "fhir_patients": self.patients,
             "fhir_appointments": self.appointments,

@@ -60,7 +60,32 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-# Staging
+# Raw tables and staging
+
+COUNTED = {
+    "states": "nation",
+    "physicians": "supplier",
+    "providers": "customer",
+    "cases": "orders",
+    "case_reviews": "lineitem",
+    "fhir_patients": "customer",
+    "fhir_appointments": "events",
+    "fhir_encounters": "events where event_type in ('purchase', 'signup')",
+    "contacts": "customer",
+    "hl7_admissions": "orders",
+    "hl7_discharges": "orders where o_orderstatus = 'F'",
+}
+
+
+@query(
+    "load_raw",
+    " union all ".join(f"select '{raw}' as table_name, count(*) as n_rows from {base}" for raw, base in COUNTED.items())
+    + " union all select 'hl7_lab_results', sum(least(l_linenumber % 4, 3))::bigint from lineitem",
+)
+def load_raw(bed: Bed) -> DataFrame:
+    """Documents and messages encoded, parsed and written as the raw tables that the models read."""
+    return table_counts({table: bed.raw(table) for table in (*COUNTED, "hl7_lab_results")})
+
 
 for _model in staging.STAGING:
     if _model not in ("stg_s3__contacts", "stg_hubspot__contacts"):
@@ -108,7 +133,7 @@ def fhir_bundle_scan(bed: Bed) -> DataFrame:
 
 @query("encounters_from_json_arrays", oracle.SQL["stg_emr__encounters"])
 def encounters_from_json_arrays(bed: Bed) -> DataFrame:
-    return staging.stg_encounters(bed.raw("fhir_encounters", arrays_as_json=True))
+    return staging.stg_encounters(bed.encoded("fhir_encounters", arrays_as_json=True))
 
 
 @query("parsed_records_scan", oracle.SQL["stg_hl7__admissions"])
@@ -327,7 +352,7 @@ def date_spine(bed: Bed) -> DataFrame:
 )
 def surrogate_key_scaled(bed: Bed) -> DataFrame:
     """The bucketed form of the surrogate key, over all cases."""
-    cases = bed.flat("cases").select("id")
+    cases = bed.raw("cases").select("id")
     return ranked_in_buckets(cases, "id", "case_key", cases.count(), buckets=16)
 
 
@@ -337,8 +362,8 @@ def surrogate_key_scaled(bed: Bed) -> DataFrame:
     "union all select 'public-providers', 2, count(*) from customer",
 )
 def stream_selection(bed: Bed) -> DataFrame:
-    streams = {f"public-{t}": bed.flat(t) for t in ("cases", "providers", "states")}
-    streams["audit-cases"] = bed.flat("cases")
+    streams = {f"public-{t}": bed.raw(t).drop(*keyed.LOAD_COLUMNS) for t in ("cases", "providers", "states")}
+    streams["audit-cases"] = streams["public-cases"]
     chosen = select_streams(streams, ["*-cases.*", "public-providers.*_name"], schemas=["public"])
     frames = [
         frame.agg(F.count("*").alias("n_rows")).select(
@@ -422,7 +447,7 @@ TOUCHED_SQL = """{ctes} select id, if(priority in ('low', 'normal'), 'closed', s
 
 
 def _updates(bed: Bed, only_changed: bool) -> DataFrame:
-    cases = bed.flat("cases").select("id", "priority", "status", "updated_at")
+    cases = bed.raw("cases").select("id", "priority", "status", "updated_at")
     low = cases.where(F.col("priority").isin("low", "normal")).select("id", F.lit("closed").alias("status"))
     now = F.lit("2026-01-01").cast("timestamp_ntz")
     rows = keyed.apply_updates(cases, low, ["id"], now, only_changed=only_changed)
@@ -466,7 +491,7 @@ def dq_unique(bed: Bed) -> DataFrame:
 
 @query("dq_not_null", f"{duck_ctes('providers')} select id, npi from providers where phone is null")
 def dq_not_null(bed: Bed) -> DataFrame:
-    return quality.missing(bed.flat("providers"), "phone").select("id", "npi")
+    return quality.missing(bed.raw("providers"), "phone").select("id", "npi")
 
 
 @query("dq_accepted", "select event_id, event_type from events where event_type not in ('view', 'click', 'signup')")
@@ -489,7 +514,7 @@ RELATIONAL = ("states", "physicians", "providers", "cases", "case_reviews")
 @query("dq_checks", oracle.rule_sql(rules.SOURCE_RULES, {t: f"{duck_ctes(t)} select * from {t}" for t in RELATIONAL}))
 def dq_checks(bed: Bed) -> DataFrame:
     """Constraints of the relational source on its raw tables."""
-    return quality.evaluate({t: bed.flat(t) for t in RELATIONAL}, rules.SOURCE_RULES)
+    return quality.evaluate({t: bed.raw(t) for t in RELATIONAL}, rules.SOURCE_RULES)
 
 
 @query(
@@ -497,7 +522,7 @@ def dq_checks(bed: Bed) -> DataFrame:
     f"{duck_ctes('physicians')} select id, coalesce(specialty, 'General') as specialty, is_active from physicians",
 )
 def dq_defaults(bed: Bed) -> DataFrame:
-    rows = quality.with_defaults(bed.flat("physicians"), {"specialty": "General", "is_active": True})
+    rows = quality.with_defaults(bed.raw("physicians"), {"specialty": "General", "is_active": True})
     return rows.select("id", "specialty", "is_active")
 
 
