@@ -85,7 +85,7 @@ def route_counts(messages: DataFrame) -> DataFrame:
 
 
 def _segments(messages: DataFrame) -> DataFrame:
-    """Fields of the first segment of each kind the parsers read, and of all result segments.
+    """Fields of the first segment of each kind the parsers read and of all result segments, and the name's parts.
 
     Lines are chosen by name before they are cut into fields, so other segments cost no split.
     """
@@ -96,7 +96,8 @@ def _segments(messages: DataFrame) -> DataFrame:
     firsts = {name.lower(): fields(F.get(named(name), 0)) for name in ("MSH", "PID", "PV1", "OBR")}
     results = {"obx": F.transform(named("OBX"), fields)}
     lines = messages.withColumn("_lines", segment_lines(F.col("message")))
-    return lines.withColumns({**firsts, **results}).drop("_lines")
+    segments = lines.withColumns({**firsts, **results}).drop("_lines")
+    return segments.withColumn("patient_name", F.split(F.get("pid", 5), COMPONENT, -1))
 
 
 def _complaints(kind: str) -> Column:
@@ -138,12 +139,11 @@ def _component(text: Column, index: int) -> Column:
 
 
 def _patient() -> dict[str, Column]:
-    name = F.get("pid", 5)
     return {
         "message_id": F.get("msh", 9),
         "patient_mrn": F.get("pid", 3),
-        "patient_last_name": _component(name, 0),
-        "patient_first_name": _component(name, 1),
+        "patient_last_name": _optional("patient_name", 0),
+        "patient_first_name": _optional("patient_name", 1),
     }
 
 

@@ -47,11 +47,14 @@ def densify(
 
     seeds = entities.select(key, F.struct(*attributes).alias("entity"), first.alias(day))
     sparse = daily.where(F.col(day).between(first, last)).select(key, day, F.struct(*measures).alias("measured"))
+    # A set number, so that AQE does not merge partitions by the size of the sparse rows.
+    partitions = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The seed sorts before a measured first day; that day then leaves the seed an empty gap.
     by_day = W.partitionBy(key).orderBy(day, "_is_measured")
     gaps = (
         seeds.withColumn("_is_measured", F.lit(False))
         .unionByName(sparse.withColumn("_is_measured", F.lit(True)), allowMissingColumns=True)
+        .repartition(partitions, key)
         .withColumn("entity", F.first("entity", ignorenulls=True).over(by_day))
         .withColumn("next_day", F.coalesce(F.lead(day).over(by_day), F.date_add(last, 1)))
         .where(F.col("entity").isNotNull())

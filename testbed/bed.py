@@ -213,7 +213,7 @@ class Bed:
         if table in documents:
             rows = raw_resources(documents[table](), arrays_as_json)
         elif table in messages:
-            rows = hl7.PARSERS[table](hl7.route(hl7.with_header(messages[table]()))[table])
+            rows = hl7.PARSERS[table](messages[table]())
         elif table == "contacts":
             rows = self.contacts().withColumn("lastmodifieddate", iso_timestamp("updatedAt"))
         elif table == "contacts_csv":
