@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clinloom.operators import keyed, quality
 from clinloom.operators.flatten import flatten_struct
-from clinloom.operators.joins import left_join_many
+from clinloom.operators.joins import hot_keys, left_join_many
 from clinloom.operators.spine import date_spine, densify
 from clinloom.operators.store import TableStore
 from clinloom.operators.surrogate import ranked_in_buckets, surrogate_key
@@ -95,6 +95,12 @@ def test_salted_left_join_equals_the_plain_one(spark, rows, hot_rows):
     assert rows(got.select(*expected.columns)) == rows(expected)
 
 
+def test_only_hot_keys_are_salted(spark, rows):
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
+    assert rows(hot_keys(df, ["k"], 100)) == [("hot", 4)]
+    assert hot_keys(df, ["k"], 400).count() == 0
+
+
 # Keyed loading
 
 
