@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, mixing
+from clinloom.llm import chat, minhash, mixing
 from clinloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,10 @@ def op10_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select(
         "row.doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.size("positions") * F.col("size")).cast("long").alias("taken")
     )
+
+
+@query("op3_minhash_dedup")
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents by 4-word shingles at a similarity of 0.8."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
