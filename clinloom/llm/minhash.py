@@ -7,8 +7,8 @@
    sizes or 256-bit sketches rule out the similarity are dropped (a linked pair falls to the sketch with a probability below
    1e-8), the rest is confirmed on the full sets from the texts.
 3. Components are taken, and buckets that still hold several components go on: the members outside their largest component
-   are paired with all members of other components. That finds every link the stars left out without
-   building all pairs of a group.
+   are paired with all members of other components that can match: by a sketch of 2048 cells, and by the shingles that no
+   other open class has, which bound the similarity of a pair from above. That finds every link the stars left out.
 4. Components are taken again over all confirmed links.
 
 Defined cases: null and empty texts, and texts of white space only, have an empty set and are linked with nothing; a null
@@ -34,6 +34,7 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 # Differing 2-bit cells of 128 for a pair of similarity s: 96 (1 - s) on average, 19.2 at 0.8 with a deviation of 4.
 SKETCH_DEVIATIONS = 6.5
+FINE = 2048
 CACHED_WORDS = 400_000
 COLUMNS_AT_ONCE = 1024
 
@@ -180,6 +181,59 @@ def _may_match(n_a: str, n_b: str, sketch_a: str, sketch_b: str, percent: int):
     return sizes & (differing <= int(most) + 1)
 
 
+def _describe(width: int):
+    """Shingles and a sketch of FINE cells for each class: too much to carry for every document."""
+    a = _random_odd(FINE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), width, words) for t in batch["text"]]
+            lows = np.empty((len(sets), FINE), np.uint64)
+            for i, shingles in enumerate(sets):
+                best = np.full(FINE, np.iinfo(np.uint64).max, np.uint64)
+                for at in range(0, len(shingles), 128):
+                    np.minimum(best, (a[:, None] * shingles[None, at : at + 128]).min(axis=1), out=best)
+                lows[i] = best >> np.uint64(32)
+            fine = sketches(lows) if len(sets) else np.empty((0, FINE // 32), np.int64)
+            columns = [
+                batch["class"].cast(pa.binary()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(list(fine), pa.list_(pa.int64())),
+                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["class", "n", "fine", "shingles"])
+
+    return run
+
+
+def _random_odd(count: int) -> np.ndarray:
+    return np.random.default_rng(7_919).integers(0, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _open_facts(texts: DataFrame, width: int) -> DataFrame:
+    """``class, n, fine, own``: set size, fine sketch and the number of shingles that no other of these classes has."""
+    described = store(texts.mapInArrow(_describe(width), "class binary, n long, fine array<long>, shingles array<long>"), "described")
+    holders = described.select("class", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    single = holders.agg(F.min("class").alias("class"), F.count("*").alias("holders")).where("holders = 1")
+    own = single.groupBy("class").agg(F.count("*").alias("own"))
+    return described.select("class", "n", "fine").join(own, "class", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+
+
+def _may_match_finely(percent: int):
+    """What no other class has can't be in an intersection, and is in every union; the fine sketch rules out more."""
+    shared, shared_x = F.col("n") - F.col("own"), F.col("n_x") - F.col("own_x")
+    bound = 100 * F.least(shared, shared_x) >= percent * (F.col("own") + F.col("own_x") + F.greatest(shared, shared_x))
+    apart = 0.75 * (1 - percent / 100)
+    most = FINE * apart + 6 * (FINE * apart * (1 - apart)) ** 0.5
+    half = FINE // 64
+    cells = [F.col("fine")[i].bitwiseXOR(F.col("fine_x")[i]).bitwiseOR(F.col("fine")[i + half].bitwiseXOR(F.col("fine_x")[i + half])) for i in range(half)]
+    differing = F.bit_count(cells[0])
+    for cell in cells[1:]:
+        differing = differing + F.bit_count(cell)
+    return bound & (differing <= int(most) + 1)
+
+
 def near_duplicates(docs: DataFrame, identity: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``id, n_shingles, component_id, kept``.
 
@@ -202,22 +256,19 @@ def near_duplicates(docs: DataFrame, identity: str = "doc_id", text: str = "text
     first = connected_components(links)
 
     # Buckets that still hold several components.
-    facts = classes.select("class", "n", "sketch").join(first.withColumnRenamed("node", "class"), "class", "left")
-    named = members.select("key", "class").join(
-        facts.select("class", "n", "sketch", F.coalesce("component", "class").alias("component")), "class"
-    )
+    named = members.select("key", "class").join(first.withColumnRenamed("node", "class"), "class", "left")
+    named = named.withColumn("component", F.coalesce("component", "class"))
     counts = named.groupBy("key", "component").agg(F.count("*").alias("members"))
     largest = counts.groupBy("key").agg(F.max(F.struct("members", "component")).alias("top"), F.count("*").alias("components"))
     open_ = store(
         named.join(largest.where("components > 1").select("key", F.col("top.component").alias("top")), "key"), "open"
     )
-    few = open_.where("component <> top").select(
-        "key", F.col("class").alias("x"), F.col("n").alias("n_x"), F.col("sketch").alias("sketch_x"), F.col("component").alias("of_x")
-    )
-    rest = few.join(open_, "key").where(
-        (F.col("of_x") != F.col("component")) & _may_match("n_x", "n", "sketch_x", "sketch", percent)
-    )
-    untried = rest.select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b")).distinct().join(paired, ["a", "b"], "left_anti")
+    known = _open_facts(open_.select("class").distinct().join(texts, "class"), width)
+    open_ = open_.select("key", "class", "component", "top").join(known, "class")
+    few = open_.where("component <> top").select("key", *[F.col(c).alias(f"{c}_x") for c in ("class", "component", "n", "own", "fine")])
+    rest = few.join(open_, "key").where((F.col("component_x") != F.col("component")) & _may_match_finely(percent))
+    pairs = rest.select(F.least("class_x", "class").alias("a"), F.greatest("class_x", "class").alias("b")).distinct()
+    untried = pairs.join(paired, ["a", "b"], "left_anti")
     more = store(confirmed(untried, texts, width, percent), "confirmed")
     both = store(connected_components(links.unionByName(more)), "components")
 
