@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, minhash, mixing
+from clinloom.llm import chat, minhash, mixing, repeats
 from clinloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,13 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents by 4-word shingles at a similarity of 0.8."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query("op4_remove_repeats")
+def op4_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 400-byte strings that occur more than once."""
+    cleaned = repeats.without_repeats(table(spark, sf_dir, "documents"), length=400, carry=["doc_id"])
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return cleaned.select(
+        "row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
