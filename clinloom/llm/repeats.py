@@ -4,7 +4,7 @@ A byte is removed when a string of ``length`` bytes that covers it also starts a
 corpus would take as many rounds as the longest document has bytes, each over everything, so the corpus is dealt into small
 collections first, and equal strings always meet in one of them:
 
-1. A window of ``length`` bytes is anchored at the leftmost of its smallest ANCHOR-byte hashes. Windows with one anchor
+1. A window of ``length`` bytes is anchored at the leftmost of the smallest hashes of its 64-byte strings. Windows with one anchor
    position form a piece (below 2 * length bytes). Equal windows have equal anchors, and anchors found once can't repeat.
 2. Equal pieces of one anchor are counted, not compared: all windows of a piece found twice repeat. One of each is kept.
 3. Where an anchor has several different pieces, they are cut into blocks of BLOCK windows that are aligned at the anchor.
@@ -24,6 +24,7 @@ struct and clash with nothing.
 from __future__ import annotations
 
 import hashlib
+import os
 import tempfile
 from collections.abc import Iterator
 
@@ -35,7 +36,6 @@ from pyspark.sql import functions as F
 from clinloom.llm.minhash import mixed
 from clinloom.llm.shared import store, text_key
 
-ANCHOR = 16
 BLOCK = 32
 MOST_BLOCKS = 4096
 COLLECTION = 2048
@@ -46,11 +46,19 @@ PLACE_BITS = np.uint64(23)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _anchor_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the ANCHOR bytes that start at each place."""
+def anchor_bytes(length: int) -> int:
+    """8 times a power of two, about a sixth of the window: long enough that unrelated texts rarely share an anchor."""
+    return 8 << max(0, (length // 48).bit_length() - 1)
+
+
+def _anchor_hashes(data: np.ndarray, anchor: int) -> np.ndarray:
+    """A 64-bit hash of the ``anchor`` bytes that start at each place: a polynomial of their 8-byte words."""
     words = np.lib.stride_tricks.sliding_window_view(data, 8)
-    eights = np.ascontiguousarray(words).view("<u8").ravel()
-    return mixed(mixed(eights[: len(eights) - 8] * _ODD) + eights[8:])
+    hashes, step, factor = np.ascontiguousarray(words).view("<u8").ravel(), 8, int(_ODD)
+    while step < anchor:
+        hashes = hashes[: len(hashes) - step] * np.uint64(factor) + hashes[step:]
+        step, factor = 2 * step, factor * factor % 2**64
+    return mixed(hashes)
 
 
 def _leftmost_smallest(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -68,13 +76,13 @@ def _leftmost_smallest(hashes: np.ndarray, width: int) -> np.ndarray:
 
 def pieces_of(data: bytes, length: int) -> Iterator[tuple[int, int, int, int]]:
     """``first window, windows, anchor place, anchor hash`` of each piece of a text, chunk by chunk."""
-    windows = len(data) - length + 1
+    windows, anchor = len(data) - length + 1, anchor_bytes(length)
     whole, step = np.frombuffer(data, np.uint8), CHUNK_BYTES
     open_piece = None
     for at in range(0, windows, step):
         part = whole[at : min(at + step, windows) + length - 1]
-        hashes = _anchor_hashes(part)
-        anchors = _leftmost_smallest(hashes, length - ANCHOR + 1)
+        hashes = _anchor_hashes(part, anchor)
+        anchors = _leftmost_smallest(hashes, length - anchor + 1)
         cuts = np.flatnonzero(np.diff(anchors)) + 1
         starts = np.concatenate(([0], cuts))
         ends = np.concatenate((cuts, [len(anchors)]))
@@ -94,25 +102,28 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-PIECES = "text_key binary, first int, windows int, anchor long, content binary"
-PIECES_ARROW = pa.schema([("text_key", pa.binary()), ("first", pa.int32()), ("windows", pa.int32()), ("anchor", pa.int64()), ("content", pa.binary())])
+PIECES = "text_key binary, first int, windows int, place int, anchor long, content binary"
+PIECES_ARROW = pa.schema([("text_key", pa.binary()), ("first", pa.int32()), ("windows", pa.int32()), ("place", pa.int32()), ("anchor", pa.int64()), ("content", pa.binary())])
+
+
+def _emit(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def _cut_pieces(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [[] for _ in PIECES_ARROW]
+            rows: list[tuple] = []
             for key, text in zip(batch["text_key"], batch["text"]):
                 data, name = text.as_py().encode(), key.as_py()
                 for first, windows, place, anchor in pieces_of(data, length):
-                    seen = data[first : first + windows + length - 1]
-                    content = hashlib.blake2b(seen, digest_size=16).digest()
-                    for column, value in zip(rows, (name, first, windows, _signed(anchor), content)):
-                        column.append(value)
-                if len(rows[0]) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, PIECES_ARROW)], schema=PIECES_ARROW)
-                    rows = [[] for _ in PIECES_ARROW]
-            yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, PIECES_ARROW)], schema=PIECES_ARROW)
+                    content = hashlib.blake2b(data[first : first + windows + length - 1], digest_size=16).digest()
+                    rows.append((name, first, windows, place - first, _signed(anchor), content))
+                if len(rows) > 20_000:
+                    yield _emit(rows, PIECES_ARROW)
+                    rows = []
+            yield _emit(rows, PIECES_ARROW)
 
     return run
 
@@ -123,14 +134,13 @@ BLOCKS_ARROW = pa.schema(
 )
 
 
-def blocks_of(part: bytes, windows: int, length: int) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
+def blocks_of(part: bytes, windows: int, place: int, length: int) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
     """``first window, span, core digest, left bytes, right bytes`` of each block of a piece.
 
     A block has ``span`` places for windows, counted from the anchor; the piece may lack some at either end. The core are
     the bytes that windows at all these places share; left and right of it is what the piece's own windows have beyond.
     """
-    anchor = int(_leftmost_smallest(_anchor_hashes(np.frombuffer(part, np.uint8, length)), length - ANCHOR + 1)[0])
-    start = (anchor - (length - ANCHOR)) % BLOCK - BLOCK
+    start = (place - length) % BLOCK - BLOCK
     while start < windows:
         low, high, last = max(start, 0), min(start + BLOCK, windows) - 1, start + BLOCK - 1
         if low <= high:
@@ -153,15 +163,6 @@ def halves_of(first: int, span: int, core: bytes, left: bytes, right: bytes) ->
         yield first + skipped, half, core_b, left[skipped:], right[half:]
 
 
-def windows_of(span: int, left: bytes, right: bytes) -> int:
-    return len(left) + len(right) - span + 2
-
-
-def _emit(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * len(schema)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
-
 def _cut_blocks(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +171,7 @@ def _cut_blocks(length: int):
                 data = text.as_py().encode()
                 for p in listed.as_py():
                     part = data[p["first"] : p["first"] + p["windows"] + length - 1]
-                    rows += [(p["content"], *block) for block in blocks_of(part, p["windows"], length)]
+                    rows += [(p["content"], *block) for block in blocks_of(part, p["windows"], p["place"], length)]
                 if len(rows) > 20_000:
                     yield _emit(rows, BLOCKS_ARROW)
                     rows = []
@@ -189,14 +190,16 @@ class Column:
     """A column of the growing transform as a file: a round reads it in order and writes its successor."""
 
     def __init__(self, folder: str, name: str, kind: type) -> None:
-        self.paths, self.kind = (f"{folder}/{name}.0", f"{folder}/{name}.1"), kind
+        self.paths, self.kind, self.size = (f"{folder}/{name}.0", f"{folder}/{name}.1"), kind, 0
 
     def read(self) -> np.ndarray:
-        return np.fromfile(self.paths[0], self.kind)
+        return np.fromfile(self.paths[0], self.kind, self.size)
 
     def write(self, values: np.ndarray) -> None:
-        values.astype(self.kind, copy=False).tofile(self.paths[1])
-        self.paths = self.paths[::-1]
+        # Written over what is there: cutting a file to nothing first makes some file systems flush it to disk.
+        with open(os.open(self.paths[1], os.O_WRONLY | os.O_CREAT), "wb") as file:
+            file.write(np.ascontiguousarray(values, self.kind).data)
+        self.paths, self.size = self.paths[::-1], len(values)
 
 
 def repeated_windows(strings: list[tuple[int, int, bytes, bytes]], length: int, folder: str) -> np.ndarray:
@@ -291,15 +294,13 @@ def _compare(length: int):
         names = {key: i for i, key in enumerate(k for k, v in number.items() if v > 1)}
         masks = repeated_windows([(names[r[0], r[1]], *r[1:4]) for r in several], length, folder).tolist() if several else []
         found = dict(zip((r[:4] for r in several), masks))
-        every = lambda r: (1 << windows_of(*r[1:4])) - 1
-        out = [(*r[:4], every(r) if r[4] > 1 else found.get(r[:4], 0)) for r in rows]
-        yield _emit([r for r in out if r[4]], MASKS_ARROW)
+        yield _emit([(*r, mask) for r, mask in found.items() if mask], MASKS_ARROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory() as folder:
             rows: list[tuple] = []
             for batch in batches:
-                for row in zip(*(batch[c].to_pylist() for c in ("core", "span", "left", "right", "blocks"))):
+                for row in zip(*(batch[c].to_pylist() for c in ("core", "span", "left", "right"))):
                     if len(rows) >= COLLECTION and row[:2] != rows[-1][:2]:
                         yield from finish(rows, folder)
                         rows = []
@@ -315,13 +316,16 @@ def _block_masks(blocks: DataFrame, length: int, most_blocks: int) -> DataFrame:
     done, rest = None, store(blocks, "blocks")
     while True:
         strings = store(rest.groupBy("core", "span", "left", "right").agg(F.count("*").alias("blocks")), "strings")
-        large = strings.where("span > 1").groupBy("core", "span").agg(F.count("*").alias("different")).where(F.col("different") > most_blocks)
-        large = store(large.select("core", "span"), "large")
-        split = large.head(1)
-        fits = strings.join(large, ["core", "span"], "left_anti") if split else strings
+        groups = store(strings.groupBy("core", "span").agg(F.count("*").alias("different")).where("different > 1"), "groups")
+        large = groups.where((F.col("different") > most_blocks) & (F.col("span") > 1)).select("core", "span")
+        split = bool(large.head(1))
         # Shuffled by core, so that a group is in one task and sorted: it has at most ``most_blocks`` strings.
-        sorted_ = fits.repartition("core").sortWithinPartitions("core", "span")
-        masks = sorted_.mapInArrow(_compare(length), MASKS)
+        several = strings.join(groups.where((F.col("different") <= most_blocks) | (F.col("span") == 1)).select("core", "span"), ["core", "span"])
+        compared = several.repartition("core").sortWithinPartitions("core", "span").mapInArrow(_compare(length), MASKS)
+        windows = F.octet_length("left") + F.octet_length("right") - F.col("span") + 2
+        every = F.expr("shiftleft(1L, windows) - 1").alias("mask")
+        alike = strings.where("blocks > 1").withColumn("windows", windows).select("core", "span", "left", "right", every)
+        masks = alike.unionByName(compared)
         found = rest.join(masks, ["core", "span", "left", "right"]).select("piece", "first", "mask")
         found = store(found, "masks")
         done = found if done is None else done.unionByName(found)
@@ -332,15 +336,15 @@ def _block_masks(blocks: DataFrame, length: int, most_blocks: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400, most_blocks: int = MOST_BLOCKS) -> DataFrame:
     """``text_key, runs``: for each text with repeated strings, runs of windows as ``first, mask or windows``."""
-    if length <= max(ANCHOR, BLOCK):
-        raise ValueError(f"length must be above {max(ANCHOR, BLOCK)}")
+    if length <= BLOCK:
+        raise ValueError(f"length must be above {BLOCK}")
     keyed = docs.where(F.octet_length(F.col(text)) >= length).select(text_key(F.col(text)).alias("text_key"), F.col(text).alias("text"))
     pieces = store(keyed.mapInArrow(_cut_pieces(length), PIECES), "pieces")
-    one = F.min(F.struct("text_key", "first", "windows")).alias("one")
+    one = F.min(F.struct("text_key", "first", "windows", "place")).alias("one")
     contents = store(pieces.groupBy("anchor", "content").agg(F.count("*").alias("found"), one), "contents")
     anchors = contents.groupBy("anchor").agg(F.min("content").alias("low"), F.max("content").alias("high")).where("low < high")
     several = contents.join(anchors.select("anchor"), "anchor", "left_semi").select("content", "one.*")
-    listed = several.groupBy("text_key").agg(F.collect_list(F.struct("content", "first", "windows")).alias("pieces"))
+    listed = several.groupBy("text_key").agg(F.collect_list(F.struct("content", "first", "windows", "place")).alias("pieces"))
     read = keyed.join(listed, "text_key").dropDuplicates(["text_key"]).select("text", "pieces")
     masks = _block_masks(read.mapInArrow(_cut_blocks(length), BLOCKS), length, most_blocks)
     # A content found several times repeats as a whole; of one found once, the windows that the blocks show.
