@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, minhash, mixing, repeats
+from clinloom.llm import chat, langid, minhash, mixing, packing, repeats, topk
 from clinloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,26 @@ def op4_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select(
         "row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op5_exact_top_k")
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best matches of every 50th vector among all vectors."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return topk.exact_top_k(vectors, vectors.where("id % 50 = 0"), k=5)
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those whose checksum class is not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out("doc_id")).select("text", "lang"))
+    predicted = langid.predict(docs, model, carry=["doc_id"]).select("row.doc_id", "lang_pred", "score")
+    return predicted.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_pack_sequences")
+def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as tokens, packed into sequences of at most 2048."""
+    packed = packing.pack(table(spark, sf_dir, "documents"))
+    return packed.select("row.doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
