@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from clinloom.llm.shared import store
 
 CAPACITY = 2048
-GROUPS = 64
+GROUPS = 4096
 SMALL = 16
 CACHED_WORDS = 300_000
 # White space before a space: there a text can't be cut into words that are tokenised alone.

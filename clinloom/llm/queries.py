@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, langid, minhash, mixing, packing, repeats, topk
+from clinloom.llm import chat, langid, minhash, mixing, packing, postings, repeats, sharding, topk
 from clinloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,17 @@ def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as tokens, packed into sequences of at most 2048."""
     packed = packing.pack(table(spark, sf_dir, "documents"))
     return packed.select("row.doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+
+
+@query("op7_extendible_shards")
+def op7_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, with shards of at most 8 MiB of text."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return placed.select("row.doc_id", F.col("bytes").alias("n_bytes"), "shard", "depth", "shard_bytes", "oversize")
+
+
+@query("op8_posting_lists")
+def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest neighbours found for every 20th vector."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return postings.nearest(vectors, vectors.where("id % 20 = 0"), k=20)
