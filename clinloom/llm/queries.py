@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, langid, minhash, mixing, packing, postings, repeats, sharding, topk
+from clinloom.llm import chat, langid, minhash, mixing, packing, postings, repeats, sharding, token_shards, topk
 from clinloom.llm.shared import table
+from clinloom.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -173,3 +174,12 @@ def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest neighbours found for every 20th vector."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     return postings.nearest(vectors, vectors.where("id % 20 = 0"), k=20)
+
+
+@query("op1_token_shards")
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token sequences of all documents in training order, read back from the shards."""
+    folder = scratch_dir(spark, "shards")
+    index, manifest = token_shards.write_training_order(table(spark, sf_dir, "documents"), folder)
+    read = token_shards.read_slots(spark, folder, manifest)
+    return index.join(read.select("slot", F.crc32("ids").alias("ids_crc32")), "slot")

@@ -377,10 +377,12 @@ def removed_bytes(size: int, runs: list[dict] | None, length: int) -> list[tuple
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
-CLEANED_ARROW = pa.schema([("row_key", pa.binary()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
+CLEANED_ARROW = pa.schema(
+    [("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()), ("clean", pa.string())]
+)
 
 
-def _clean(length: int, carried: list[str]):
+def _clean(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -391,19 +393,24 @@ def _clean(length: int, carried: list[str]):
                 for start, end in spans:
                     parts.append(data[last:start])
                     last = end
-                out.append((len(data), [{"start": s, "end": e} for s, e in spans], b"".join(parts) + data[last:]))
-            columns = list(zip(*out)) if out else [[], [], []]
-            arrays = [pa.array(c, f.type) for c, f in zip(columns, list(CLEANED_ARROW)[1:])]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in carried), *arrays], names=[*carried, "n_bytes", "spans", "kept"])
+                kept = b"".join(parts) + data[last:]
+                clean = kept.decode("utf-8", "ignore") if text.is_valid else None
+                out.append((len(data), [{"start": s, "end": e} for s, e in spans], kept, clean))
+            columns = list(zip(*out)) if out else [[]] * len(CLEANED_ARROW)
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, CLEANED_ARROW)]
+            yield pa.RecordBatch.from_arrays([batch["row"], *arrays], names=["row", *CLEANED_ARROW.names])
 
     return run
 
 
 def without_repeats(docs: DataFrame, text: str = "text", length: int = 400, carry: list[str] | None = None, most_blocks: int = MOST_BLOCKS) -> DataFrame:
-    """One row per document: ``row`` (its columns, or those of ``carry``), ``n_bytes, spans, kept`` (the bytes that stay)."""
+    """One row per document: ``row`` (its columns, or those of ``carry``), ``n_bytes, spans, kept, clean``.
+
+    ``kept`` are the bytes that stay; ``clean`` is their text, without the rest of a character that a removal cut.
+    """
     columns = docs.columns if carry is None else carry
     runs = repeated_spans(docs, text, length, most_blocks)
     row = docs.select(F.struct(*map(F.col, columns)).alias("row"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key"))
     kind = row.schema["row"].dataType.simpleString()
     joined = row.join(runs, "text_key", "left").select("row", "text", "runs")
-    return joined.mapInArrow(_clean(length, ["row"]), f"row {kind}, n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept binary")
+    return joined.mapInArrow(_clean(length), f"row {kind}, n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept binary, clean string")
