@@ -74,7 +74,7 @@ def integer_scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     most = float(np.abs(queries).max()) * float(np.abs(candidates).max()) * queries.shape[1]
     if most < 2.0**53:
         return (queries @ candidates.T).astype(np.int64)
-    if most < 2.0**62:
+    if most < 2.0**61:
         return queries.astype(np.int64) @ candidates.astype(np.int64).T
     raise OverflowError("inner products may exceed 64 bits")
 
@@ -179,7 +179,9 @@ def _select(candidates: DataFrame, query_blocks: DataFrame, k: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array([float(np.abs(np.frombuffer(vectors.as_py(), "<f8")).max(initial=0.0))])], names=["most"])
 
     most = candidates.select("vectors").mapInArrow(largest, "most double").agg(F.max("most")).first()[0]
-    bound = F.least(F.ceil(F.col("norm") * F.lit(most)), F.lit(2**62)) + 1
+    if most is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    bound = F.least(F.ceil(F.col("norm") * F.lit(most)), F.lit(2**61)) + 1
     width = lambda low, high: F.greatest(F.lit(1), F.ceil((high - low) / BINS)).cast("long")
     ids = query_blocks.select("query_ids", "queries").mapInArrow(unpack, "query_id long, norm double")
     ranges = ids.groupBy("query_id").agg(F.max("norm").alias("norm")).select(
