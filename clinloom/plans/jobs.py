@@ -72,7 +72,7 @@ def extract(spark: SparkSession, source: str, places: Places, store: TableStore)
     if source == "s3_landing":
         names = {"contacts_csv": r"contacts\.csv", "deals_csv": r"deals\.csv"}
         return {
-            table: read_csv_drop(spark, places.drops, "hubspot/", pattern, modified_after=places.since)
+            table: read_csv_drop(spark, places.drops, "hubspot/", pattern, modified_after=places.since, multi_line=True)
             for table, pattern in names.items()
         }
     if source == "hubspot":

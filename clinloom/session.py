@@ -11,7 +11,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # Runtime settings the plans rely on; none of them depends on the cluster's size.
 #   skewJoin + forceOptimizeSkewedJoin: a hot provider, patient or case is split even when that costs one more shuffle.
-#   the broadcast thresholds are the size check behind every dimension lookup: no plan here uses an unchecked hint.
+#   the broadcast thresholds are the size check behind every dimension lookup.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -48,10 +48,12 @@ def spread(scan: DataFrame) -> DataFrame:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder path below the cluster's shared checkpoint folder.
 
-    Only where the session names none (tests, laptops) a temporary folder is made and set for the session.
+    Only where the session names none and runs on one machine (tests, laptops) a temporary folder is made and set for it.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="clinloom-")
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -17,11 +17,11 @@ def read_records(
 ) -> DataFrame:
     """The records of all pages at ``path``: elements of the array ``envelope``, or their field ``inner``.
 
-    ``record`` is the record's schema. Pages are plain files, so more pages mean more parallel tasks; with
+    ``record`` is the record's schema. A damaged page, or a value of another type, fails the read. Pages are plain files, so more pages mean more parallel tasks; with
     ``multi_line=False`` each line is one page and large files are split as well.
     """
     item = f"struct<{record}>" if inner is None else f"struct<{inner}: struct<{record}>>"
-    pages = spark.read.schema(f"{envelope} array<{item}>").json(path, multiLine=multi_line)
+    pages = spark.read.schema(f"{envelope} array<{item}>").json(path, multiLine=multi_line, mode="FAILFAST")
     chosen = "item.*" if inner is None else f"item.{inner}.*"
     return pages.select(F.explode(envelope).alias("item")).select(chosen)
 
