@@ -1,3 +1,4 @@
+import gzip
 import os
 
 import pytest
@@ -87,6 +88,19 @@ def test_a_large_file_is_read_in_many_splits(spark, tmp_path, tail):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("limit", [0, 20, 1 << 20])
+def test_marked_and_compressed_files_lose_nothing(spark, tmp_path, limit):
+    whole = [b"\x0bMSH|%d\x1c\r\x0bMSH|%d%s\x1c\r" % (i, i, b"x" * i) for i in range(40)]
+    contents = [b"\xef\xbb\xbf" + c for c in whole] + [b"\xef\xbb\xbf" + c + tail for c, tail in zip(whole, (b"\x0bMSH|t", b"t", b"\x1c"))]
+    path = land(tmp_path / "in", *contents)
+    packed = whole + [c + b"\x0bMSH|t" for c in whole]
+    for i, content in enumerate(packed):
+        with open(f"{path}/{i}.hl7.gz", "wb") as file:
+            file.write(gzip.compress(content))
+    got = sorted(r.message for r in read_messages(spark, path, whole_file_bytes=limit).collect())
+    assert got == sorted(m for c in (*contents, *packed) for m in brute_force(c))
+
+
 def test_written_frames_read_back(spark, tmp_path):
     path = str(tmp_path / "out")
     sent = ["MSH|1\nPID|é", "MSH|2"]

@@ -44,6 +44,31 @@ def test_feed_takes_new_files_only_and_redelivery_replaces(spark, tmp_path):
     assert message_log(spark, log).where("route = 'unknown'").count() == 1
 
 
+def test_a_new_checkpoint_neither_replaces_nor_hides_messages(spark, tmp_path):
+    landing, log = f"{tmp_path}/landing", f"{tmp_path}/log"
+
+    def run(state):
+        start_feed(spark, f"{landing}/*", log, f"{tmp_path}/{state}").awaitTermination()
+        return [r.n for r in message_log(spark, log).groupBy("batch").agg(F.count("*").alias("n")).orderBy("batch").collect()]
+
+    send(spark, f"{landing}/one", adt("1"))
+    assert run("first") == [1]
+    send(spark, f"{landing}/two", adt("2"), adt("1", "Roe"))
+    assert run("second") == [1, 3]
+    send(spark, f"{landing}/three", adt("3"))
+    assert run("first") == [1, 3, 3]
+    assert names(spark, log).keys() == {"1", "2", "3"}
+
+
+def test_file_names_are_taken_literally(spark, tmp_path):
+    landing, log = tmp_path / "landing", f"{tmp_path}/log"
+    landing.mkdir()
+    for name in ("a[1].hl7", "b{x,y}.hl7", "c d?.hl7"):
+        (landing / name).write_text(f"\x0b{adt(name[0])}\x1c\r", newline="")
+    start_feed(spark, str(landing), log, f"{tmp_path}/state").awaitTermination()
+    assert names(spark, log).keys() == {"a", "b", "c"}
+
+
 def test_one_route_reads_its_own_folders(spark, tmp_path):
     landing, log = f"{tmp_path}/landing", f"{tmp_path}/log"
     send(spark, landing, adt("1"), adt("2", kind="ADT^A03"))
