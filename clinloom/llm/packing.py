@@ -23,15 +23,16 @@ give no rows. Columns of the input are carried in one struct.
 from __future__ import annotations
 
 import bisect
+import functools
 import itertools
 import os
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,16 +41,20 @@ from clinloom.llm.shared import store
 CAPACITY = 2048
 GROUPS = 4096
 SMALL = 16
-CACHED_WORDS = 300_000
+# Some 200 bytes each, once per Python worker.
+CACHED_WORDS = 1_000_000
+LONGEST_CACHED = 64
+# Bytes of text tokenised at once (a single text may be longer).
+SLICE_BYTES = 8 << 20
 # White space before a space: there a text can't be cut into words that are tokenised alone.
-_RUN = re.compile(r"\s ")
+_RUN = r"[\pZ\x09-\x0D\x1C-\x1F\x{85}] "
 
 
 class Tokens:
-    """Token ids of texts by a byte-level BPE file, as little-endian unsigned 32-bit bytes.
+    """Token ids of texts by a byte-level BPE file.
 
     The vocabulary's pattern starts a new unit at every space that follows another character than white space, so such
-    texts are cut there and each distinct word is tokenised once.
+    texts are cut there and each distinct word is tokenised once; texts with other runs are tokenised whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -63,17 +68,52 @@ class Tokens:
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def of(self, text: str) -> bytes:
-        if _RUN.search(text):
-            return self.encode([text])[0]
-        first, *rest = text.split(" ")
+    def encode_cached(self, words: list[str]) -> list[bytes]:
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        words = self.words
-        missing = [w for w in dict.fromkeys(rest) if w not in words]
-        if missing:
-            words.update(zip(missing, self.encode([" " + w for w in missing])))
-        return self.encode([first])[0] + b"".join(map(words.__getitem__, rest)) if first else b"".join(map(words.__getitem__, rest))
+        missing = [w for w in words if w not in self.words]
+        fresh = dict(zip(missing, self.encode(missing)))
+        self.words.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_CACHED)
+        return [fresh[w] if w in fresh else self.words[w] for w in words]
+
+    def of(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text as little-endian unsigned 32-bit integers; none for null."""
+        texts = pc.fill_null(texts, "")
+        runs = pc.match_substring_regex(texts, _RUN)
+        split = pc.split_pattern(pc.if_else(runs, "", texts), " ")
+        coded = pc.list_flatten(split).dictionary_encode()
+        names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        edges = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))
+        # A text's first word has no space before it, so it is an entry of its own.
+        firsts, which = np.unique(codes[edges[:-1]], return_inverse=True)
+        codes[edges[:-1]] = len(names) + which
+        entries = self.encode_cached([" " + w for w in names] + [names[f] for f in firsts])
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
+        ids, starts = np.frombuffer(b"".join(entries), "<u4"), np.cumsum(sizes) - sizes
+        counts = sizes[codes]
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        flat = ids[np.repeat(starts[codes] - ends[:-1], counts) + np.arange(ends[-1])]
+        for i, whole in enumerate(runs.to_pylist()):
+            yield np.frombuffer(self.encode([texts[i].as_py()])[0], "<u4") if whole else flat[ends[edges[i]] : ends[edges[i + 1]]]
+
+
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts have at most ``most`` bytes, or of a single row."""
+    sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_pylist()
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+@functools.cache
+def tokens_of(path: str) -> Tokens:
+    """One for all tasks of a Python worker, so that words known from earlier tasks are not tokenised again."""
+    return Tokens(path)
 
 
 def default_vocabulary() -> str:
@@ -89,11 +129,11 @@ def _cut(path: str, capacity: int, end_token: int, with_ids: bool):
     end = np.array([end_token], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(path)
-        for batch in batches:
+        tokens = tokens_of(path)
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
             at, columns = [], [[] for _ in range(4 + with_ids)]
-            for i, text in enumerate(batch["text"]):
-                ids = tokens.of(text.as_py() or "") + end
+            for i, found in enumerate(tokens.of(batch["text"])):
+                ids = found.tobytes() + end
                 n = len(ids) // 4
                 edges = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for piece, (start, stop) in enumerate(itertools.pairwise(edges)):

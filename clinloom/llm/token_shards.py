@@ -15,6 +15,7 @@ numbered); an empty table writes no shard; ids of 65,536 and more are an error.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinloom.llm.packing import Tokens, default_vocabulary
+from clinloom.llm.packing import default_vocabulary, slices, tokens_of
 from clinloom.llm.shared import store
 
 LENGTH = 256
@@ -62,11 +63,11 @@ def permuted(numbers: DataFrame, column: str, count: int, key: int) -> DataFrame
 
 def _sequences(path: str, length: int, end_token: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, squeeze = Tokens(path), zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        tokens, squeeze = tokens_of(path), zstandard.ZstdCompressor(level=3)
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
             rows, at = [], []
-            for i, text in enumerate(batch["text"]):
-                ids = np.append(np.frombuffer(tokens.of(text.as_py() or ""), "<u4"), np.uint32(end_token))
+            for i, found in enumerate(tokens.of(batch["text"])):
+                ids = np.append(found, np.uint32(end_token))
                 if ids.max() > 0xFFFF:
                     raise ValueError("token ids of more than 16 bits")
                 for part in range(-(-len(ids) // length)):
