@@ -37,24 +37,32 @@ UNKNOWN = "und"
 LETTERS = r"[^\p{L}]+"
 
 
+@dataclass
+class Table:
+    """Log scores of words, or of n-grams of one length: a row of the matrix for each, found by its place."""
+
+    places: dict[str, int]
+    scores: np.ndarray
+
+
 @dataclass
 class Model:
     languages: list[str]
     shares: np.ndarray
-    words: dict[str, np.ndarray] = field(default_factory=dict)
-    grams: list[dict[str, np.ndarray]] = field(default_factory=list)
+    words: Table
+    grams: list[Table] = field(default_factory=list)
 
     def word(self, word: str) -> np.ndarray:
         """Log scores of a word, one per language; zeros if nothing of it is known."""
-        known = self.words.get(word)
+        known = self.words.places.get(word)
         if known is not None:
-            return known
+            return self.words.scores[known]
         marked = f"^{word}$"
         for n in range(len(self.grams), 0, -1):
             table = self.grams[n - 1]
-            found = [table[g] for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if g in table]
+            found = [table.places[g] for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if g in table.places]
             if found:
-                return np.mean(found, axis=0)
+                return table.scores[found].mean(axis=0)
         return np.zeros(len(self.languages))
 
 
@@ -95,9 +103,9 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
     languages = sorted(r["lang"] for r in totals)
     documents = {r["lang"]: r["count"] for r in totals}
     if not languages:
-        return Model([], np.empty(0))
+        return Model([], np.empty(0), Table({}, np.empty((0, 0))))
     every = sum(documents.values())
-    model = Model(languages, np.array([documents[x] / every for x in languages]))
+    tables: list[Table] = []
     share = F.create_map(*[F.lit(v) for x in languages for v in (x, min(1.0, sample / documents[x]))])
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
     chosen = usable.where(F.col("lang").isin(languages)).where(place < share[F.col("lang")]).select("lang", "text")
@@ -111,12 +119,9 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
         found = rows.iloc[:, 1:].to_numpy(np.float64)
         base = np.array([sums.get((n, x), 0) for x in languages], np.float64)
         logs = np.log((found + 0.5) / (base + 0.5 * max(1, len(rows))))
-        table = {item: scores for item, scores in zip(rows["item"], logs - logs.max(axis=1, keepdims=True) if len(rows) else logs)}
-        if n == 0:
-            model.words = table
-        else:
-            model.grams.append(table)
-    return model
+        scores = logs - logs.max(axis=1, keepdims=True) if len(rows) else logs
+        tables.append(Table({item: i for i, item in enumerate(rows["item"])}, scores))
+    return Model(languages, np.array([documents[x] / every for x in languages]), tables[0], tables[1:])
 
 
 def _predict(shared):
