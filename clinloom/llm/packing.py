@@ -45,7 +45,7 @@ SMALL = 16
 CACHED_WORDS = 1_000_000
 LONGEST_CACHED = 64
 # Bytes of text tokenised at once (a single text may be longer).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # White space before a space: there a text can't be cut into words that are tokenised alone.
 _RUN = r"[\pZ\x09-\x0D\x1C-\x1F\x{85}] "
 
@@ -145,6 +145,8 @@ def _cut(path: str, capacity: int, end_token: int, with_ids: bool):
             names = ["row", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids]
             arrays = [batch["row"].take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds))]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+            # What a slice took goes back to the system: the worker shares an executor's memory with the JVM.
+            pa.default_memory_pool().release_unused()
 
     return run
 
