@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours by inner product over balanced posting lists.
+"""Nearest neighbours by inner product over balanced posting lists, completed by a bound until the result is exact.
 
 Vectors get one more component, sqrt(M^2 - |x|^2) with M the largest length, so that the largest inner product is the
 smallest distance. Centroids come from balanced k-means on a bounded sample; their number follows the rows up to
@@ -8,11 +8,15 @@ smallest distance and at most ``replicas``. Lists are stored in blocks of at mos
 third of all rows is many blocks. A query searches the lists within ``ratio`` times its smallest centroid distance, at most
 ``probes``; scores are exact sums over the original components.
 
-A query that finds fewer than k candidates in its lists searches all blocks, so it gets k rows if there are k candidates.
+That first search only gives each query a floor: its k-th score so far, or none if it found fewer. A vector x of the list
+(of its nearest centroid) c scores at most q.c + |q| |x - c|, and the largest |x - c| of each list is known. So the query goes
+on to all lists whose bound reaches its floor, and a list is left out only if it can't hold a better one. No parameter changes
+the result, only what it costs: clustered vectors leave most lists out, vectors without clusters need nearly all.
 
 Defined cases: null ids and vectors, zero vectors, and vectors with null, NaN or infinite components take no part; vectors of
-different lengths are an error; rows that repeat an id are ranked as rows of their own except equal ones, which are one; no
-candidates give no rows; equal scores go to the smaller id.
+different lengths are an error; candidate rows that repeat an id are ranked as rows of their own except equal ones, which are
+one; of query rows that repeat an id the smallest vector, by its components in order, is the query; no candidates give no rows;
+equal scores go to the smaller id.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ SAMPLE = 20_000
 LIST_LENGTH = 128
 MOST_LISTS = 4096
 BLOCK = 1024
+QUERIES = 512
 DEGREE = 16
 BEAM = 96
 
@@ -110,7 +115,7 @@ def walk(points: np.ndarray, centroids: np.ndarray, graph: np.ndarray, beam: int
 
 
 def _assign(shared, ratio: float, most: int, query: bool):
-    """``id, vector, list`` for the lists of a vector: within ``ratio`` of the smallest distance, at most ``most``."""
+    """``id, vector, list, place, far`` for the lists of a vector, nearest first: within ``ratio`` of the smallest distance, at most ``most``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centroids, graph, largest = shared.value
@@ -128,8 +133,13 @@ def _assign(shared, ratio: float, most: int, query: bool):
                 inside[:, 0] = True
                 rows, columns = np.nonzero(inside)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch[c].take(pa.array(rows)) for c in ("id", "vector")), pa.array(found[rows, columns].astype(np.int64))],
-                    names=["id", "vector", "list"],
+                    [
+                        *(batch[c].take(pa.array(rows)) for c in ("id", "vector")),
+                        pa.array(found[rows, columns].astype(np.int64)),
+                        pa.array(columns.astype(np.int32)),
+                        pa.array(far[rows, columns]),
+                    ],
+                    names=["id", "vector", "list", "place", "far"],
                 )
 
     return run
@@ -165,8 +175,33 @@ def _blocks(posted: DataFrame, size: int) -> DataFrame:
     return dealt.mapInArrow(_block(size), "list long, ids binary, vectors binary")
 
 
+def _best(q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray, floor_ids: np.ndarray):
+    """``row, column, score`` of each query's k best candidates that come before its floor: the larger score, then the smaller id."""
+    rough = q @ x.T
+    rough[query_ids[:, None] == ids[None, :]] = -np.inf
+    # Rough products choose what is summed exactly; the slack is far above their rounding.
+    slack = 1e-9 * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max(initial=0.0)
+    wanted = (rough >= (floor - slack)[:, None]) & (rough > -np.inf)
+    many = np.flatnonzero(wanted.sum(axis=1) > k)
+    if len(many):
+        kth = np.partition(rough[many], len(ids) - k, axis=1)[:, len(ids) - k]
+        wanted[many] &= rough[many] >= (kth - slack[many])[:, None]
+    rows, columns = np.nonzero(wanted)
+    # Component by component, so that equal vectors get equal scores wherever they stand.
+    scores = np.zeros(len(rows))
+    for d in range(x.shape[1]):
+        scores += q[rows, d] * x[columns, d]
+    better = (scores > floor[rows]) | ((scores == floor[rows]) & (ids[columns] < floor_ids[rows]))
+    rows, columns, scores = rows[better], columns[better], scores[better]
+    order = np.lexsort((ids[columns], -scores, rows))
+    rows, columns, scores = rows[order], columns[order], scores[order]
+    first = np.searchsorted(rows, rows)
+    near = np.arange(len(rows)) - first < k
+    return rows[near], columns[near], scores[near]
+
+
 def _search(k: int):
-    """Blocks joined with queries -> the k best of each block for each query."""
+    """Blocks joined with queries -> the k best of each block for each query, of those that come before its floor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,23 +209,109 @@ def _search(k: int):
                 ids, query_ids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["query_ids"], "<i8")
                 x = np.frombuffer(row["vectors"], "<f4").reshape(len(ids), -1).astype(np.float64)
                 q = np.frombuffer(row["queries"], "<f4").reshape(len(query_ids), -1).astype(np.float64)
-                # Component by component, so that equal vectors get equal scores wherever they stand.
-                scores = np.zeros((len(q), len(x)))
-                for d in range(x.shape[1]):
-                    scores += q[:, d, None] * x[None, :, d]
-                scores[query_ids[:, None] == ids[None, :]] = -np.inf
-                order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
-                at = np.arange(len(q))[:, None]
-                real = np.isfinite(scores[at, order])
-                rows, columns = np.nonzero(real)
-                hit = order[rows, columns]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(query_ids[rows]), pa.array(ids[hit]), pa.array(scores[rows, hit])], names=["query_id", "vec_id", "score"]
-                )
+                if "floors" in row:
+                    floor, floor_ids = np.frombuffer(row["floors"], "<f8"), np.frombuffer(row["floor_ids"], "<i8")
+                else:
+                    floor, floor_ids = np.full(len(q), -np.inf), np.zeros(len(q), np.int64)
+                rows, hit, scores = _best(q, query_ids, x, ids, k, floor, floor_ids)
+                yield pa.RecordBatch.from_arrays([pa.array(query_ids[rows]), pa.array(ids[hit]), pa.array(scores)], names=["query_id", "vec_id", "score"])
 
     return run
 
 
+def near_order(points: np.ndarray) -> np.ndarray:
+    """Numbers of the points in an order in which near ones mostly stand together: halved along a wide direction."""
+
+    def halve(at: np.ndarray) -> list[np.ndarray]:
+        if len(at) <= 2:
+            return [at]
+        own = points[at] - points[at].mean(axis=0)
+        along = own[np.abs(own).sum(axis=1).argmax()] @ own.T
+        for _ in range(5):
+            along = own @ (along / max(1e-300, np.abs(along).max()) @ own)
+        at = at[np.argsort(along, kind="stable")]
+        return halve(at[: len(at) // 2]) + halve(at[len(at) // 2 :])
+
+    return np.concatenate(halve(np.arange(len(points))))
+
+
+def _send(shared):
+    """Queries with floors -> for each block that may hold a better candidate, the queries that go there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, radii, starts, firsts, numbers = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, QUERIES):
+                batch = whole.slice(at, QUERIES)
+                ids = batch["id"].to_numpy().astype("<i8")
+                q = batch["vector"].flatten().to_numpy(zero_copy_only=False).astype("<f4").reshape(len(ids), -1)
+                floor, floor_ids = batch["floor"].to_numpy().astype("<f8"), batch["floor_id"].to_numpy().astype("<i8")
+                exact = q.astype(np.float64)
+                most = exact @ centres.T + np.linalg.norm(exact, axis=1)[:, None] * radii
+                needed = np.logical_or.reduceat(most >= floor[:, None], starts, axis=1)
+                for group in np.flatnonzero(needed.any(axis=0)):
+                    go = needed[:, group]
+                    sent = {"query_ids": ids[go].tobytes(), "queries": q[go].tobytes(), "floors": floor[go].tobytes(), "floor_ids": floor_ids[go].tobytes()}
+                    yield pa.RecordBatch.from_pylist([{"list": int(firsts[group] + i), **sent} for i in range(numbers[group])])
+
+    return run
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Queries of one block, in rows sorted by block, joined to at least QUERIES a row where there are as many."""
+    name, parts, total = None, [], 0
+
+    def joined():
+        return pa.RecordBatch.from_pylist([{"list": name, **{c: b"".join(p[c] for p in parts) for c in parts[0] if c != "list"}}])
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if parts and (row["list"] != name or total >= QUERIES):
+                yield joined()
+                parts, total = [], 0
+            name = row["list"]
+            parts.append(row)
+            total += len(row["query_ids"]) // 8
+    if parts:
+        yield joined()
+
+
+def _better(home: DataFrame, asked: DataFrame, first: DataFrame, centroids: np.ndarray, largest: float, k: int) -> DataFrame:
+    """What comes before the k-th found of each query, from all lists that may hold it. ``home``: each vector in one list."""
+    spark = home.sparkSession
+    known = {r["list"]: r for r in home.groupBy("list").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
+    lists = [int(c) for c in near_order(centroids) if c in known]
+    # Neighbouring lists share blocks up to BLOCK rows; a longer list has several blocks.
+    starts, firsts, numbers, rows, blocks = [], [], [], 0, 0
+    for at, c in enumerate(lists):
+        if not starts or rows + known[c]["n"] > BLOCK:
+            starts.append(at)
+            rows = 0
+        rows += known[c]["n"]
+        numbers[len(starts) - 1 :] = [math.ceil(rows / BLOCK)]
+    for n in numbers:
+        firsts.append(blocks)
+        blocks += n
+    group_of = np.searchsorted(starts, np.arange(len(lists)), side="right") - 1
+    places = spark.createDataFrame([(c, firsts[g], numbers[g]) for c, g in zip(lists, group_of)], "list long, first long, number long")
+    placed = home.join(F.broadcast(places), "list").select(
+        "id", "vector", (F.col("first") + F.pmod(F.xxhash64("id", "vector"), F.col("number"))).alias("list")
+    )
+    stored = placed.repartition("list").sortWithinPartitions("list", "id").mapInArrow(_block(2 * BLOCK), "list long, ids binary, vectors binary")
+    # Distances of the walk are rounded like differences of squares.
+    radii = np.array([known[c]["far"] for c in lists]) + 1e-6 * largest
+    shared = spark.sparkContext.broadcast((centroids[lists][:, :-1], radii, np.array(starts), np.array(firsts), np.array(numbers)))
+    last = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"), F.col("vec_id").alias("floor_id"))
+    floored = asked.join(last, "id", "left").select(
+        "id", "vector", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"), F.coalesce("floor_id", F.lit(0)).cast("long").alias("floor_id")
+    )
+    packed = "list long, query_ids binary, queries binary, floors binary, floor_ids binary"
+    sent = floored.mapInArrow(_send(shared), packed)
+    merged = sent.repartition("list", F.pmod(F.xxhash64("query_ids"), F.lit(4))).sortWithinPartitions("list").mapInArrow(_merge, packed)
+    return stored.join(merged, "list").mapInArrow(_search(k), "query_id long, vec_id long, score double")
+
+
 def _pack_queries(rows: DataFrame, size: int = 256) -> DataFrame:
     return _blocks(rows, size).select("list", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"))
 
@@ -207,7 +328,7 @@ def nearest(
     ratio: float = 1.3,
     probes: int = 64,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score`` of the k nearest found, by largest inner product. Frames have ``id, vector`` (floats)."""
+    """``query_id, rank, vec_id, score`` of the k nearest, by largest inner product. Frames have ``id, vector`` (floats)."""
     spark = vectors.sparkSession
     length = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     ready = lambda df: df.where(usable(F.col("vector")) & F.col("id").isNotNull()).select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<float>").alias("vector")).where(length > 0)
@@ -224,16 +345,14 @@ def nearest(
     lists = max(1, min(most_lists, math.ceil(facts["n"] / list_length), len(points)))
     centroids = balanced_centroids(_lengthened(points, facts["largest"]), lists)
     shared = spark.sparkContext.broadcast((centroids, neighbour_graph(centroids), facts["largest"]))
-    posted = base.mapInArrow(_assign(shared, boundary, replicas, False), "id long, vector array<float>, list long")
-    blocks = store(_blocks(posted, BLOCK), "postings")
-    asked = ready(queries).distinct()
-    probed = asked.mapInArrow(_assign(shared, ratio, probes, True), "id long, vector array<float>, list long")
+    kind = "id long, vector array<float>, list long, place int, far double"
+    posted = store(base.mapInArrow(_assign(shared, boundary, replicas, False), kind), "postings")
+    blocks = _blocks(posted, BLOCK)
+    asked = store(ready(queries).groupBy("id").agg(F.min("vector").alias("vector")), "queries")
+    probed = asked.mapInArrow(_assign(shared, ratio, probes, True), kind)
     found = blocks.join(_pack_queries(probed), "list").mapInArrow(_search(k), "query_id long, vec_id long, score double")
     first = store(_ranked(found, k), "nearest")
-    # Queries with too few candidates in their lists meet every list.
-    short = asked.join(first.groupBy("query_id").count().where(F.col("count") >= k).select(F.col("query_id").alias("id")), "id", "left_anti")
-    everywhere = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(lists - 1))))
-    rest = blocks.join(_pack_queries(everywhere), "list").mapInArrow(_search(k), "query_id long, vec_id long, score double")
+    rest = _better(posted.where("place = 0"), asked, first, centroids, facts["largest"], k)
     return _ranked(first.drop("rank").unionByName(rest), k)
 
 

@@ -199,6 +199,46 @@ def test_nearest_finds_most_and_scores_exactly(spark):
     assert postings.nearest(df.limit(0), df, 20).count() == 0
 
 
+def brute_nearest(data, queries, k):
+    out = {}
+    for q in queries:
+        scores = data @ data[q]
+        scores[q] = -np.inf
+        near = np.argpartition(-scores, 2 * k)[: 2 * k]
+        out[q] = near[np.lexsort((near, -scores[near]))][:k].tolist()
+    return out
+
+
+@pytest.mark.parametrize("clusters", [0, 50])
+def test_nearest_loses_nothing_in_a_large_table(spark, tmp_path, clusters):
+    """More lists than a query probes first, with and without clusters: the result is that of brute force."""
+    import pyarrow.parquet as pq
+
+    n, rng = 210_000 if not clusters else 40_000, np.random.default_rng(9)
+    data = rng.normal(0, 1, (n, 64))
+    if clusters:
+        data = 0.3 * data + rng.normal(0, 1, (clusters, 64))[rng.integers(0, clusters, n)]
+    data = (data / np.linalg.norm(data, axis=1, keepdims=True)).astype(np.float32)
+    vectors = pa.FixedSizeListArray.from_arrays(pa.array(data.ravel()), 64).cast(pa.list_(pa.float32()))
+    pq.write_table(pa.table({"id": pa.array(np.arange(n)), "vector": vectors}), tmp_path / "v.parquet", row_group_size=10_000)
+    df = spark.read.parquet(str(tmp_path / "v.parquet")).repartition(16)
+    found = collections.defaultdict(list)
+    for r in postings.nearest(df, df.where("id % 1000 = 0"), 20).collect():
+        found[r.query_id].append((r["rank"], r.vec_id))
+    want = brute_nearest(data.astype(np.float64), range(0, n, 1000), 20)
+    assert {q: [v for _, v in sorted(listed)] for q, listed in found.items()} == want
+
+
+def test_nearest_of_repeated_queries(spark):
+    rng = np.random.default_rng(10)
+    rows = [(i, rng.normal(0, 1, 4).astype(np.float32).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, vector array<float>")
+    asked = spark.createDataFrame([rows[3], rows[3], (3, [99.0, 0.0, 0.0, 0.0])], "id long, vector array<float>")
+    found = [(r["rank"], r.vec_id) for r in postings.nearest(df, asked, 5).collect()]
+    want = brute_nearest(np.array([r[1] for r in rows], np.float64), [3], 5)[3]
+    assert sorted(found) == list(enumerate(want, 1))
+
+
 def test_language_model_is_right_on_held_out_rows(spark):
     rng = random.Random(6)
     parts = {"en": ["th", "ing", "wh", "ed"], "de": ["sch", "ung", "ßer", "keit"], "fr": ["eau", "oi", "ção", "ment"]}
