@@ -25,18 +25,21 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.llm.minhash import mixed
-from clinloom.llm.shared import store, text_key
+from clinloom.llm.shared import WORDS, store, text_key
 
 BLOCK = 32
+CODE = 8
+WORD_BYTES = re.compile(WORDS.encode())
 MOST_BLOCKS = 4096
 COLLECTION = 2048
 CHUNK_BYTES = 4 << 20
@@ -382,27 +385,86 @@ CLEANED_ARROW = pa.schema(
 )
 
 
+def _without(data: bytes, spans: list[tuple[int, int]], known: bool) -> tuple:
+    """A row of CLEANED_ARROW: what stays of a text without its spans."""
+    parts, last = [], 0
+    for start, end in spans:
+        parts.append(data[last:start])
+        last = end
+    kept = b"".join(parts) + data[last:]
+    return len(data), [{"start": s, "end": e} for s, e in spans], kept, kept.decode("utf-8", "ignore") if known else None
+
+
+def _cleaned(row: pa.Array, out: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*out)) if out else [[]] * len(CLEANED_ARROW)
+    return pa.RecordBatch.from_arrays([row, *(pa.array(c, f.type) for c, f in zip(columns, CLEANED_ARROW))], names=["row", *CLEANED_ARROW.names])
+
+
 def _clean(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, runs in zip(batch["text"], batch["runs"]):
+                data = (text.as_py() or "").encode()
+                out.append(_without(data, removed_bytes(len(data), runs.as_py(), length) if runs.is_valid else [], text.is_valid))
+            yield _cleaned(batch["row"], out)
+
+    return run
+
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans without overlaps."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _clean_passages(length: int, words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, runs, word_runs in zip(batch["text"], batch["runs"], batch["word_runs"]):
                 data = (text.as_py() or "").encode()
                 spans = removed_bytes(len(data), runs.as_py(), length) if runs.is_valid else []
-                parts, last = [], 0
-                for start, end in spans:
-                    parts.append(data[last:start])
-                    last = end
-                kept = b"".join(parts) + data[last:]
-                clean = kept.decode("utf-8", "ignore") if text.is_valid else None
-                out.append((len(data), [{"start": s, "end": e} for s, e in spans], kept, clean))
-            columns = list(zip(*out)) if out else [[]] * len(CLEANED_ARROW)
-            arrays = [pa.array(c, f.type) for c, f in zip(columns, CLEANED_ARROW)]
-            yield pa.RecordBatch.from_arrays([batch["row"], *arrays], names=["row", *CLEANED_ARROW.names])
+                if word_runs.is_valid:
+                    places = [m.span() for m in WORD_BYTES.finditer(data)]
+                    for start, end in removed_bytes(CODE * len(places), word_runs.as_py(), CODE * words):
+                        first, after = -(-start // CODE), end // CODE
+                        if first < after:
+                            spans.append((places[first][0], places[after][0] if after < len(places) else places[after - 1][1]))
+                out.append(_without(data, _joined(spans), text.is_valid))
+            yield _cleaned(batch["row"], out)
 
     return run
 
 
+def word_codes(text: Column) -> Column:
+    """A text as one string of CODE characters (48 bits of a hash) for each word."""
+    code = lambda w: F.left(F.base64(F.unhex(F.lpad(F.hex(F.xxhash64(w)), 16, "0"))), F.lit(CODE))
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)), code), "")
+
+
+def without_repeated_passages(docs: DataFrame, text: str = "text", length: int = 400, words: int = 51, most_blocks: int = MOST_BLOCKS) -> DataFrame:
+    """Like ``without_repeats``, and also without passages of ``words`` words that occur more than once, however short they are.
+
+    Words are compared by hash codes of equal length, so that passages are strings of ``CODE * words`` bytes; what stands
+    between words doesn't count. A removed passage takes the space up to the next word with it.
+    """
+    runs = repeated_spans(docs, text, length, most_blocks)
+    coded = docs.select(word_codes(F.col(text)).alias("code"))
+    word_runs = repeated_spans(coded, "code", CODE * words, most_blocks).select(F.col("text_key").alias("code_key"), F.col("runs").alias("word_runs"))
+    row = docs.select(
+        F.struct(*map(F.col, docs.columns)).alias("row"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key"), text_key(word_codes(F.col(text))).alias("code_key")
+    )
+    kind = row.schema["row"].dataType.simpleString()
+    joined = row.join(runs, "text_key", "left").join(word_runs, "code_key", "left").select("row", "text", "runs", "word_runs")
+    return joined.mapInArrow(_clean_passages(length, words), f"row {kind}, n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept binary, clean string")
+
+
 def without_repeats(docs: DataFrame, text: str = "text", length: int = 400, carry: list[str] | None = None, most_blocks: int = MOST_BLOCKS) -> DataFrame:
     """One row per document: ``row`` (its columns, or those of ``carry``), ``n_bytes, spans, kept, clean``.
 

@@ -1,7 +1,7 @@
 """A corpus pipeline over ``documents``: each stage applies one operator to all that the stage before kept.
 
 Language ID (documents without letters or with an unsure prediction go), near-duplicates (one document of each group stays),
-repeated 400-byte strings (removed; documents left without a word go), mixing (copies in training order), packing (tokens of
+repeated 400-byte strings and passages of over 50 words (removed; documents left without a word go), mixing (copies in training order), packing (tokens of
 at most 2048 to a sequence). All but the last return the columns of ``documents``.
 """
 
@@ -32,11 +32,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes of 400-byte strings that occur more than once; ``n_chars`` follows the text.
+    """Documents without 400-byte strings and 51-word passages that occur more than once; ``n_chars`` follows the text.
 
     A removed span may end inside a character; the bytes of such a character that are left are dropped.
     """
-    cleaned = repeats.without_repeats(docs, length=400)
+    cleaned = repeats.without_repeated_passages(docs, length=400, words=51)
     emptied = (F.size("spans") > 0) & ~F.col("clean").rlike(WORDS)
     read = cleaned.where(~F.coalesce(emptied, F.lit(False)))
     replaced = {"text": F.col("clean").alias("text"), "n_chars": F.length("clean").cast("long").alias("n_chars")}

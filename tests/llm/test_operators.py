@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from clinloom.llm import chat, langid, minhash, mixing, packing, postings, repeats, sharding, token_shards, topk
 from clinloom.llm.components import connected_components
 from clinloom.llm.shared import text_key
@@ -158,6 +159,29 @@ def test_repeats_match_brute_force(docs, most_blocks):
     assert any(r.spans for r in found)
 
 
+def test_pipeline_removes_repeated_passages_of_any_bytes(spark):
+    """Passages of 51 to 70 words under 400 bytes, in documents that share nothing else, and a long string without spaces."""
+    rng = random.Random(13)
+    own = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    texts = []
+    for n in range(45, 71):
+        passage = " ".join(rng.choice("klmnopq") + rng.choice(["", "e", "io"]) for _ in range(n))
+        assert len(passage) < 400
+        texts += [f"{own(30)} {passage} {own(20)}", f"{own(5)}\n{passage}\t{own(40)}"]
+    texts += [own(10) + " ha" * 60 + " " + own(9), own(300), None, ""]
+    unbroken = "".join(rng.choice("rstuvé") for _ in range(430))
+    texts += [f"{own(9)} {unbroken} {own(8)}", f"{own(7)} {unbroken}"]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], DOCS)
+    found = {r.doc_id: (r.text or "") for r in corpus_pipeline.repeated_strings(spark, docs, "").collect()}
+    split = [words_of(t) for t in texts]
+    seen = collections.Counter(tuple(w[i : i + 51]) for w in split for i in range(len(w) - 50))
+    for at, w in enumerate(split):
+        gone = {j for i in range(len(w) - 50) if seen[tuple(w[i : i + 51])] > 1 for j in range(i, i + 51)}
+        kept = [x for j, x in enumerate(w) if j not in gone and unbroken not in x]
+        assert words_of(found[at]) == kept, at
+    assert sum(len(words_of(t)) for t in found.values()) < sum(map(len, split))
+
+
 def test_repeats_of_an_empty_table(empty):
     assert repeats.without_repeats(empty).count() == 0
 
