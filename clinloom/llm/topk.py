@@ -14,7 +14,8 @@ taken in double precision, else in 64-bit integers; where even those could overf
 
 Defined cases: null vectors, and vectors with null, NaN or infinite components, take no part; so do null ids. Vectors of
 other than the most common length are an error. Rows with a query's id are never its candidates; rows that repeat an id are
-ranked as rows of their own. With fewer than k candidates a query gets all; without candidates it gets no row.
+ranked as rows of their own. Of query rows that repeat an id, the smallest vector (by its components in order) is the query, so
+an id is one query however often it comes. With fewer than k candidates a query gets all; without candidates it gets no row.
 """
 
 from __future__ import annotations
@@ -57,7 +58,7 @@ def blocks_of(rows: DataFrame, size: int, label: str) -> DataFrame:
 def numbered(blocks: DataFrame, label: str) -> DataFrame:
     """Blocks with numbers from 0 without gaps; what is sorted in one task are block names, not blocks."""
     named = blocks.withColumn("name", F.md5(F.concat("ids", "vectors")))
-    # Equal blocks share a name and number; they are told apart by nothing and both are scored.
+    # Ids are unique over all blocks, so no two blocks are equal.
     order = named.select("name").distinct().select("name", (F.row_number().over(Window.orderBy("name")) - 1).alias("block"))
     return store(named.join(order, "name").drop("name"), label)
 
@@ -146,7 +147,9 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 2
     """
     whole = lambda v: F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("double"))
     ready = lambda df: df.where(usable(F.col("vector")) & F.col("id").isNotNull()).select(F.col("id").cast("long").alias("id"), whole("vector").alias("vector"))
-    mine, theirs = ready(queries), ready(vectors)
+    # One row for each id; by length too, so that a vector of another length is still an error.
+    mine = ready(queries).groupBy("id", F.size("vector")).agg(F.min("vector").alias("vector")).select("id", "vector")
+    theirs = ready(vectors)
     per_block = lambda df: df.repartition(F.pmod(F.xxhash64("id"), F.lit(4096))).sortWithinPartitions("id")
     query_blocks = numbered(blocks_of(per_block(mine), QUERY_BLOCK, "queries"), "queries").select(
         "block", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), "dim"

@@ -204,6 +204,21 @@ def test_top_k_matches_brute_force(spark):
     assert topk.exact_top_k(df.where("id = 1"), df.where("id = 1"), 5).count() == 0
 
 
+@pytest.mark.parametrize("copies", [2, 1100])
+def test_top_k_of_repeated_queries(spark, copies):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(0, 0.3, 6).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    asked = [rows[50]] * copies + [rows[0], (0, [9.0] * 6)]
+    vectors = {i: np.floor(256 * np.array(v)).astype(int) for i, v in rows}
+    want = []
+    for q in (0, 50):
+        best = sorted((-int(vectors[q] @ v), i) for i, v in vectors.items() if i != q)[:5]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    found = topk.exact_top_k(df, spark.createDataFrame(asked, "id long, vector array<double>"), 5)
+    assert sorted(tuple(r) for r in found.collect()) == want
+
+
 def test_nearest_finds_most_and_scores_exactly(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(0, 1, 8).astype(np.float32).tolist()) for i in range(1500)] + [(i, [1.0] * 8) for i in range(1500, 1600)]
