@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, langid, minhash, mixing, packing, postings, repeats, sharding, token_shards, topk
+from clinloom.llm import chat, hard_negatives, langid, minhash, mixing, packing, postings, repeats, runs, sharding, token_counts, token_shards, topk
 from clinloom.llm.shared import table
 from clinloom.session import scratch_dir
 
@@ -183,3 +183,65 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, manifest = token_shards.write_training_order(table(spark, sf_dir, "documents"), folder)
     read = token_shards.read_slots(spark, folder, manifest)
     return index.join(read.select("slot", F.crc32("ids").alias("ids_crc32")), "slot")
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words that repeat a period four times or more, in all documents, with repetitions planted in every tenth."""
+    planted = runs.with_stuttered_words(table(spark, sf_dir, "documents"))
+    found = runs.periodic_runs(planted, carry=["doc_id"])
+    # Runs come by start and period: of the longest, the first in order.
+    longest = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))),
+        F.get("runs", F.lit(0)),
+        lambda best, r: F.when(r["length"] > best["length"], r).otherwise(best),
+    )
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    read = found.select("row.doc_id", "runs", "collapsed", longest.alias("longest"), lines.alias("lines"))
+    return read.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op12_hard_negatives",
+    """
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as vector
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.vec_id as anchor_id, r.vec_id, r.label = a.label as same, list_dot_product(a.vector, r.vector)::bigint as score
+    from rows a join rows r on a.vec_id % 100 = 0 and r.vec_id <> a.vec_id
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id, (row_number() over best)::int as rank, n.vec_id as negative_id, positive_score, n.score as negative_score
+from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+    and 30 * positive_score <= 100 * n.score and 100 * n.score <= 90 * positive_score
+window best as (partition by p.anchor_id, positive_id order by n.score desc, n.vec_id)
+qualify row_number() over best <= 10
+""",
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every 100th vector, below each of its five best matches of the same label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mine(rows, rows.where("id % 100 = 0"))
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tokens of all documents."""
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))

@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         con.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     df = QUERIES[name](spark, SMALL)
     result = con.execute(ORACLES[name])
