@@ -177,14 +177,26 @@ def test_counts_equal_the_tokenizer(spark, tokenizer):
     rows = [(i // 2, t, "row") for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, row string").withColumn("tokens", F.lit(1)).repartition(4)
     want = sorted((i, len((t or "").encode()), len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t, _ in rows)
-    for common in (token_counts.COMMON, 3, 0):
-        # The broadcast part and the shuffled part give the same.
-        got = token_counts.count_tokens(df, common=common)
+    # One slice for all texts of a task and many; all pre-tokens broadcast, some, and none.
+    for size, frequent, common in ((token_counts.SLICE_BYTES, 20_000, 100_000), (200, 5, 100), (200, 5, 1), (200, 5, 0)):
+        got = token_counts.count_tokens(df, frequent=frequent, common=common, size=size)
         assert got.columns == ["row", "n_bytes", "n_tokens"]
         assert sorted((r.row.doc_id, r.n_bytes, r.n_tokens) for r in got.collect()) == want
     assert token_counts.count_tokens(df.limit(0)).count() == 0
 
 
+def test_frequent_strings_are_kept():
+    rng = random.Random(8)
+    stream = ["hot"] * 900 + ["warm"] * 300 + [f"w{i}" for i in range(8000)]
+    rng.shuffle(stream)
+    frequent = token_counts.Frequent(50)
+    for at in range(0, len(stream), 130):
+        part = stream[at : at + 130]
+        frequent.add(list(dict.fromkeys(part)), [part.count(w) for w in dict.fromkeys(part)])
+    assert len(frequent.counts) <= 100 + 130
+    assert 900 - len(stream) // 50 <= frequent.counts["hot"] <= 900 and 300 - len(stream) // 50 <= frequent.counts["warm"] <= 300
+
+
 def test_frequencies_are_those_of_the_pre_tokenizer(tokenizer):
     rng, own = random.Random(6), token_counts.PreTokens(packing.default_vocabulary())
     texts = ["".join(rng.choices([b for b in BITS if b != "<|endoftext|>"], k=12)) for _ in range(50)]
@@ -192,8 +204,8 @@ def test_frequencies_are_those_of_the_pre_tokenizer(tokenizer):
     for i, text in enumerate(texts):
         got = {names[c]: int(n) for c, n in zip(codes[edges[i] : edges[i + 1]], counts[edges[i] : edges[i + 1]])}
         want = {}
-        for token, _ in tokenizer.pre_tokenizer.pre_tokenize_str(text):
-            want[token] = want.get(token, 0) + 1
+        for _, (start, stop) in tokenizer.pre_tokenizer.pre_tokenize_str(text):
+            want[text[start:stop]] = want.get(text[start:stop], 0) + 1
         assert got == want, repr(text)
 
 
