@@ -62,7 +62,6 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.words: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -39,6 +39,10 @@ BLOCK = 1024
 QUERIES = 512
 DEGREE = 16
 BEAM = 96
+SALTED = 16
+# Vectors for a task to work on at least, and hits that a task gathers before it keeps the best of each query.
+TASK = 8192
+GATHERED = 500_000
 
 
 def _lengthened(vectors: np.ndarray, largest: float) -> np.ndarray:
@@ -145,14 +149,14 @@ def _assign(shared, ratio: float, most: int, query: bool):
     return run
 
 
-def _block(size: int):
-    """Rows sorted by list -> blocks of at most ``size`` rows of one list."""
+def _block(size: int, kind: str):
+    """Rows sorted by list -> blocks of at most ``size`` rows of one list; components as they came (``kind``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, ids, vectors = None, [], []
 
         def finish():
-            return pa.RecordBatch.from_pylist([{"list": name, "ids": np.array(ids, "<i8").tobytes(), "vectors": np.array(vectors, "<f4").tobytes()}])
+            return pa.RecordBatch.from_pylist([{"list": name, "ids": np.array(ids, "<i8").tobytes(), "vectors": np.array(vectors, kind).tobytes()}])
 
         for batch in batches:
             matrix = batch["vector"].flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
@@ -169,10 +173,15 @@ def _block(size: int):
     return run
 
 
-def _blocks(posted: DataFrame, size: int) -> DataFrame:
-    """``list, ids, vectors``. A salt keeps a list of any size from one task; blocks of a list need not be neighbours."""
-    dealt = posted.repartition("list", F.pmod(F.xxhash64("id"), F.lit(16))).sortWithinPartitions("list", "id")
-    return dealt.mapInArrow(_block(size), "list long, ids binary, vectors binary")
+def _blocks(posted: DataFrame, size: int, kind: str, tasks: int) -> DataFrame:
+    """``list, ids, vectors``. Lists of more than SALTED blocks are dealt to several tasks; most are whole in one.
+
+    The sizes are those of at most ``most_lists`` lists.
+    """
+    sizes = posted.groupBy("list").agg(F.ceil(F.count("*") / (SALTED * size)).alias("salts"))
+    salt = F.pmod(F.xxhash64("id"), F.col("salts"))
+    dealt = posted.join(F.broadcast(sizes), "list").repartition("list", salt).drop("salts").coalesce(tasks).sortWithinPartitions("list", "id")
+    return dealt.mapInArrow(_block(size, kind), "list long, ids binary, vectors binary")
 
 
 def _best(q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray, floor_ids: np.ndarray):
@@ -200,21 +209,50 @@ def _best(q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray,
     return rows[near], columns[near], scores[near]
 
 
-def _search(k: int):
-    """Blocks joined with queries -> the k best of each block for each query, of those that come before its floor."""
+def _best_of_each(parts: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    """Of hits ``query, id, score``, the k best of each query; a hit found in several lists counts once."""
+    query_ids, ids, scores = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((ids, -scores, query_ids))
+    query_ids, ids, scores = query_ids[order], ids[order], scores[order]
+    again = np.zeros(len(order), bool)
+    again[1:] = (query_ids[1:] == query_ids[:-1]) & (ids[1:] == ids[:-1]) & (scores[1:] == scores[:-1])
+    query_ids, ids, scores = query_ids[~again], ids[~again], scores[~again]
+    near = np.arange(len(ids)) - np.searchsorted(query_ids, query_ids) < k
+    return query_ids[near], ids[near], scores[near]
+
+
+def _search(k: int, kind: str):
+    """Blocks joined with queries -> the k best of the task's blocks for each query, of those that come before its floor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
+        gathered = 0
+
+        def sent(hits: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in hits], names=["query_id", "vec_id", "score"])
+
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 ids, query_ids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["query_ids"], "<i8")
-                x = np.frombuffer(row["vectors"], "<f4").reshape(len(ids), -1).astype(np.float64)
-                q = np.frombuffer(row["queries"], "<f4").reshape(len(query_ids), -1).astype(np.float64)
+                x = np.frombuffer(row["vectors"], kind).reshape(len(ids), -1).astype(np.float64)
+                q = np.frombuffer(row["queries"], kind).reshape(len(query_ids), -1).astype(np.float64)
                 if "floors" in row:
                     floor, floor_ids = np.frombuffer(row["floors"], "<f8"), np.frombuffer(row["floor_ids"], "<i8")
                 else:
                     floor, floor_ids = np.full(len(q), -np.inf), np.zeros(len(q), np.int64)
                 rows, hit, scores = _best(q, query_ids, x, ids, k, floor, floor_ids)
-                yield pa.RecordBatch.from_arrays([pa.array(query_ids[rows]), pa.array(ids[hit]), pa.array(scores)], names=["query_id", "vec_id", "score"])
+                parts.append((query_ids[rows], ids[hit], scores))
+                gathered += len(rows)
+                if gathered > GATHERED:
+                    parts = [_best_of_each(parts, k)]
+                    gathered = len(parts[0][0])
+                    # Too many queries for one task to wait for its end.
+                    if gathered > GATHERED // 2:
+                        yield sent(parts.pop())
+                        gathered = 0
+        if parts:
+            yield sent(_best_of_each(parts, k))
 
     return run
 
@@ -235,7 +273,7 @@ def near_order(points: np.ndarray) -> np.ndarray:
     return np.concatenate(halve(np.arange(len(points))))
 
 
-def _send(shared):
+def _send(shared, kind: str):
     """Queries with floors -> for each block that may hold a better candidate, the queries that go there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +282,7 @@ def _send(shared):
             for at in range(0, whole.num_rows, QUERIES):
                 batch = whole.slice(at, QUERIES)
                 ids = batch["id"].to_numpy().astype("<i8")
-                q = batch["vector"].flatten().to_numpy(zero_copy_only=False).astype("<f4").reshape(len(ids), -1)
+                q = batch["vector"].flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(ids), -1)
                 floor, floor_ids = batch["floor"].to_numpy().astype("<f8"), batch["floor_id"].to_numpy().astype("<i8")
                 exact = q.astype(np.float64)
                 most = exact @ centres.T + np.linalg.norm(exact, axis=1)[:, None] * radii
@@ -277,7 +315,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield joined()
 
 
-def _better(home: DataFrame, asked: DataFrame, first: DataFrame, centroids: np.ndarray, largest: float, k: int) -> DataFrame:
+def _better(home: DataFrame, asked: DataFrame, first: DataFrame, centroids: np.ndarray, largest: float, k: int, kind: str, tasks: int) -> DataFrame:
     """What comes before the k-th found of each query, from all lists that may hold it. ``home``: each vector in one list."""
     spark = home.sparkSession
     known = {r["list"]: r for r in home.groupBy("list").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()}
@@ -298,7 +336,7 @@ def _better(home: DataFrame, asked: DataFrame, first: DataFrame, centroids: np.n
     placed = home.join(F.broadcast(places), "list").select(
         "id", "vector", (F.col("first") + F.pmod(F.xxhash64("id", "vector"), F.col("number"))).alias("list")
     )
-    stored = placed.repartition("list").sortWithinPartitions("list", "id").mapInArrow(_block(2 * BLOCK), "list long, ids binary, vectors binary")
+    stored = placed.repartition("list").coalesce(tasks).sortWithinPartitions("list", "id").mapInArrow(_block(2 * BLOCK, kind), "list long, ids binary, vectors binary")
     # Distances of the walk are rounded like differences of squares.
     radii = np.array([known[c]["far"] for c in lists]) + 1e-6 * largest
     shared = spark.sparkContext.broadcast((centroids[lists][:, :-1], radii, np.array(starts), np.array(firsts), np.array(numbers)))
@@ -307,13 +345,13 @@ def _better(home: DataFrame, asked: DataFrame, first: DataFrame, centroids: np.n
         "id", "vector", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"), F.coalesce("floor_id", F.lit(0)).cast("long").alias("floor_id")
     )
     packed = "list long, query_ids binary, queries binary, floors binary, floor_ids binary"
-    sent = floored.mapInArrow(_send(shared), packed)
-    merged = sent.repartition("list", F.pmod(F.xxhash64("query_ids"), F.lit(4))).sortWithinPartitions("list").mapInArrow(_merge, packed)
-    return stored.join(merged, "list").mapInArrow(_search(k), "query_id long, vec_id long, score double")
+    sent = floored.coalesce(tasks).mapInArrow(_send(shared, kind), packed)
+    merged = sent.repartition("list", F.pmod(F.xxhash64("query_ids"), F.lit(4))).coalesce(tasks).sortWithinPartitions("list").mapInArrow(_merge, packed)
+    return stored.join(merged, "list").coalesce(tasks).mapInArrow(_search(k, kind), "query_id long, vec_id long, score double")
 
 
-def _pack_queries(rows: DataFrame, size: int = 256) -> DataFrame:
-    return _blocks(rows, size).select("list", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"))
+def _pack_queries(rows: DataFrame, kind: str, tasks: int, size: int = 256) -> DataFrame:
+    return _blocks(rows, size, kind, tasks).select("list", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"))
 
 
 def nearest(
@@ -328,10 +366,15 @@ def nearest(
     ratio: float = 1.3,
     probes: int = 64,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score`` of the k nearest, by largest inner product. Frames have ``id, vector`` (floats)."""
+    """``query_id, rank, vec_id, score`` of the k nearest, by largest inner product. Frames have ``id, vector``.
+
+    Components are compared as they came, floats or doubles; other types are read as doubles.
+    """
     spark = vectors.sparkSession
+    single = all(df.schema["vector"].dataType.elementType.typeName() == "float" for df in (vectors, queries))
+    kind, type_ = ("<f4", "float") if single else ("<f8", "double")
     length = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    ready = lambda df: df.where(usable(F.col("vector")) & F.col("id").isNotNull()).select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<float>").alias("vector")).where(length > 0)
+    ready = lambda df: df.where(usable(F.col("vector")) & F.col("id").isNotNull()).select(F.col("id").cast("long").alias("id"), F.col("vector").cast(f"array<{type_}>").alias("vector")).where(length > 0)
     base = ready(vectors).distinct()
     facts = base.agg(F.count("*").alias("n"), F.max(F.sqrt(length)).alias("largest"), F.min(F.size("vector")).alias("low"), F.max(F.size("vector")).alias("high")).first()
     if not facts["n"]:
@@ -345,14 +388,16 @@ def nearest(
     lists = max(1, min(most_lists, math.ceil(facts["n"] / list_length), len(points)))
     centroids = balanced_centroids(_lengthened(points, facts["largest"]), lists)
     shared = spark.sparkContext.broadcast((centroids, neighbour_graph(centroids), facts["largest"]))
-    kind = "id long, vector array<float>, list long, place int, far double"
-    posted = store(base.mapInArrow(_assign(shared, boundary, replicas, False), kind), "postings")
-    blocks = _blocks(posted, BLOCK)
+    # Work for a task is counted in vectors, so a small table doesn't start a worker for each of many partitions.
+    tasks = max(spark.sparkContext.defaultParallelism, facts["n"] // TASK)
+    posting = f"id long, vector array<{type_}>, list long, place int, far double"
+    posted = store(base.coalesce(tasks).mapInArrow(_assign(shared, boundary, replicas, False), posting), "postings")
+    blocks = _blocks(posted, BLOCK, kind, tasks)
     asked = store(ready(queries).groupBy("id").agg(F.min("vector").alias("vector")), "queries")
-    probed = asked.mapInArrow(_assign(shared, ratio, probes, True), kind)
-    found = blocks.join(_pack_queries(probed), "list").mapInArrow(_search(k), "query_id long, vec_id long, score double")
+    probed = asked.coalesce(tasks).mapInArrow(_assign(shared, ratio, probes, True), posting)
+    found = blocks.join(_pack_queries(probed, kind, tasks), "list").coalesce(tasks).mapInArrow(_search(k, kind), "query_id long, vec_id long, score double")
     first = store(_ranked(found, k), "nearest")
-    rest = _better(posted.where("place = 0"), asked, first, centroids, facts["largest"], k)
+    rest = _better(posted.where("place = 0"), asked, first, centroids, facts["largest"], k, kind, tasks)
     return _ranked(first.drop("rank").unionByName(rest), k)
 
 

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and their defined cases, on small fixtures."""
 
 import collections
+import functools
 import hashlib
 import random
 import re
@@ -304,7 +305,6 @@ def test_tokens_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(packing.default_vocabulary())
-    whole.encode_special_tokens = True
     rng, own = random.Random(7), packing.Tokens(packing.default_vocabulary())
     bits = [" ", "  ", "\n", " \n ", "\t", "a", "don't", "é", "42", "...", "<|endoftext|>", " ", "日本", " 's", "\x1c", "x y"]
     for _ in range(400):
@@ -415,3 +415,16 @@ def test_text_keys_tell_texts_apart(spark):
     df = spark.createDataFrame([("a",), ("b",), (None,), ("",)], "t string").select(text_key(F.col("t")).alias("k"))
     keys = [r.k for r in df.collect()]
     assert bytes(keys[0]) == hashlib.md5(b"a").digest() and keys[2] == keys[3]
+
+
+def test_nearest_keeps_doubles(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(0, 1, 16).tolist()) for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    want = []
+    for q in range(0, 700, 100):
+        # Added in order: the built-in sum rounds otherwise.
+        scored = [(-functools.reduce(lambda total, ab: total + ab[0] * ab[1], zip(rows[q][1], v), 0.0), i) for i, v in rows if i != q]
+        want += [(q, k, i, -s) for k, (s, i) in enumerate(sorted(scored)[:20], 1)]
+    got = postings.nearest(df, df.where("id % 100 = 0"), 20, sample=300)
+    assert sorted(map(tuple, got.collect())) == want
