@@ -1,16 +1,18 @@
 """Token-ID output in training order: a keyed permutation gives every sequence a slot, shards hold slots at a fixed stride.
 
 Documents are tokenised, closed with an end token and cut into sequences of ``length`` tokens; the last one of a document is
-padded. N sequences are numbered from 0 without gaps: by hash bucket of their document, then within the bucket. A Feistel
-network over the next even number of bits, walked until it lands below N, maps numbers to slots one to one, under a key.
-Rows are dealt by slot range; shard s holds the slots from ``s * per_shard`` at ``stride = 2 * length`` bytes each, as
-little-endian unsigned 16-bit ids, so slot k is read at ``(k % per_shard) * stride`` of file ``k // per_shard``.
+padded. They are written once; the N stored sequences are numbered from 0 without gaps by their place in that table, so no
+sort is needed: the rows of the partitions before, and the row's number in its own. A Feistel network over the next even
+number of bits, walked until it lands below N, maps numbers to slots one to one, under a key. Rows are dealt by range of
+slot, in the one shuffle of the whole: partition s gets the slots from ``s * per_shard`` and writes them as shard s at
+``stride = 2 * length`` bytes each, as little-endian unsigned 16-bit ids, so slot k is read at ``(k % per_shard) * stride`` of
+file ``k // per_shard``. The index is written by the same tasks.
 
 A shard is written to a name of its own and moved into place; its bytes follow from the data and the key alone, so a task
-that runs again writes the same file. ``read_slots`` starts at any slot.
+that runs again writes the same file. The order follows from the key and from how the table was read: another layout of its
+files gives another order. ``read_slots`` starts at any slot.
 
-Defined cases: null text is empty and gives the end token alone; repeated rows are documents of their own (copies are
-numbered); an empty table writes no shard; ids of 65,536 and more are an error. Other columns are not read.
+Defined cases: null text is empty and gives the end token alone; repeated rows are documents of their own; an empty table writes no shard; ids of 65,536 and more are an error. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +36,11 @@ LENGTH = 256
 PER_SHARD = 16_384
 PAD = 0
 ROUNDS = 6
+# Steps of a walk that every row makes in the plan, and the most that a row which is not home then makes in a loop.
+STEPS = 3
 WALK = 320
-BUCKETS = 4096
+# ``monotonically_increasing_id`` holds the partition above these bits and the row's number in it below them.
+ROW_BITS = 33
 
 
 def feistel(number: Column, bits: int, key: int) -> Column:
@@ -55,10 +60,13 @@ def permuted(numbers: DataFrame, column: str, count: int, key: int) -> DataFrame
     comes home with a probability of a quarter at least.
     """
     bits = max(2, (count - 1).bit_length() + (count - 1).bit_length() % 2)
-    first = feistel(F.col(column).cast("long"), bits, key)
-    # A row at home stays there; a longer walk than WALK steps has a probability below 1e-40 and would be told by the writer.
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, lambda at, _: F.when(at < count, at).otherwise(feistel(at, bits, key)))
-    return numbers.withColumn("slot", walk)
+    # A row at home stays there. After STEPS steps under 1 row of 100 still walks; only those loop, and a walk longer than
+    # WALK steps has a probability below 1e-40 and would be told by the writer.
+    walked = numbers.withColumn("slot", feistel(F.col(column).cast("long"), bits, key))
+    for _ in range(STEPS):
+        walked = walked.withColumn("slot", F.when(F.col("slot") < count, F.col("slot")).otherwise(feistel(F.col("slot"), bits, key)))
+    loop = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.col("slot"), lambda at, _: F.when(at < count, at).otherwise(feistel(at, bits, key)))
+    return walked.withColumn("slot", F.when(F.col("slot") < count, F.col("slot")).otherwise(loop))
 
 
 def _sequences(path: str, length: int, end_token: int):
@@ -84,17 +92,21 @@ def _sequences(path: str, length: int, end_token: int):
 
 
 def _write(folder: str, length: int, per_shard: int):
-    """Rows sorted by slot, whole shards -> one file per shard: ``shard, first_slot, sequences, crc32``."""
+    """Rows sorted by slot, whole shards -> one file per shard; the rows' index, and ``first_slot, sequences, crc32`` of each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pa.fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pa.fs.LocalFileSystem(), folder)
         open_, expand = None, zstandard.ZstdDecompressor()
+        kinds = {"shard": pa.int64(), "slot": pa.int64(), "doc_id": pa.int64(), "part": pa.int32(), "tokens": pa.int32(), "first_slot": pa.int64(), "sequences": pa.int64(), "crc32": pa.int64()}
+
+        def rows(n: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c not in columns else v if isinstance(v := columns[c], pa.Array) else pa.array(v, k) for c, k in kinds.items()], names=list(kinds))
 
         def close():
-            shard, name, stream, rows, crc = open_
+            shard, name, stream, n, crc = open_
             stream.close()
             files.move(name, f"{root}/{shard:08d}.bin")
-            return pa.RecordBatch.from_pylist([{"shard": shard, "first_slot": shard * per_shard, "sequences": rows, "crc32": crc}])
+            return rows(1, shard=[shard], first_slot=[shard * per_shard], sequences=[n], crc32=[crc])
 
         for batch in batches:
             for slot, packed in zip(batch["slot"].to_pylist(), batch["ids"].to_pylist()):
@@ -112,6 +124,7 @@ def _write(folder: str, length: int, per_shard: int):
                 open_[2].write(record)
                 open_[3] += 1
                 open_[4] = zlib.crc32(record, open_[4])
+            yield rows(batch.num_rows, **{c: batch[c] for c in ("slot", "doc_id", "part", "tokens")})
         if open_ is not None:
             yield close()
 
@@ -132,20 +145,22 @@ def write_training_order(
     """Writes the shards; returns the index (``slot, doc_id, part, tokens``) and the list of shards with checksums."""
     spark = docs.sparkSession
     read = docs.select(F.col(identity).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    cut = store(read.mapInArrow(_sequences(path or default_vocabulary(), length, end_token), "doc_id long, part int, tokens int, ids binary"), "sequences")
-    bucketed = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "part", "ids"), F.lit(BUCKETS)).cast("int"))
-    counts = bucketed.groupBy("bucket").agg(F.count("*").alias("n"))  # at most BUCKETS rows
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    cut = read.mapInArrow(_sequences(path or default_vocabulary(), length, end_token), "doc_id long, part int, tokens int, ids binary")
+    stored = store(cut.withColumn("at", F.monotonically_increasing_id()), "sequences")
+    placed = stored.withColumns({"home": F.shiftright("at", ROW_BITS), "nth": F.col("at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))})
+    counts = placed.groupBy("home").agg(F.count("*").alias("n"))
+    before = counts.select("home", F.coalesce(F.sum("n").over(Window.orderBy("home").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    within = Window.partitionBy("bucket").orderBy("doc_id", "part", "ids")
-    numbered = bucketed.withColumn("nth", F.row_number().over(within) - 1).join(F.broadcast(before.select("bucket", "before")), "bucket")
-    numbered = numbered.withColumn("number", F.col("before") + F.col("nth")).drop("bucket", "nth", "before")
-    placed = permuted(numbered, "number", max(1, total), key)
-    shards = -(-total // per_shard)
-    # Whole shards to a partition, in the order of slots; the hash of a partition number spreads them.
-    dealt = placed.withColumn("shard", F.floor(F.col("slot") / per_shard)).repartition(max(1, shards), "shard").sortWithinPartitions("slot")
-    written = store(dealt.select("slot", "ids").mapInArrow(_write(folder, length, per_shard), "shard long, first_slot long, sequences long, crc32 long"), "manifest")
-    return placed.select("slot", "doc_id", "part", "tokens"), written
+    # One row for each partition that wrote the table.
+    numbered = placed.join(F.broadcast(before), "home").select("doc_id", "part", "tokens", "ids", (F.col("before") + F.col("nth")).alias("number"))
+    slots = permuted(numbered, "number", max(1, total), key).drop("number")
+    # Ranges of slots, which are known without a sample: a shard for each partition.
+    shards = max(1, -(-total // per_shard))
+    dealt = slots.repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
+    kind = "shard long, slot long, doc_id long, part int, tokens int, first_slot long, sequences long, crc32 long"
+    written = store(dealt.select("slot", "doc_id", "part", "tokens", "ids").mapInArrow(_write(folder, length, per_shard), kind), "manifest")
+    index = written.where("slot is not null").select("slot", "doc_id", "part", "tokens")
+    return index, written.where("shard is not null").select("shard", "first_slot", "sequences", "crc32")
 
 
 def read_slots(spark: SparkSession, folder: str, manifest: DataFrame, length: int = LENGTH, start: int = 0) -> DataFrame:
