@@ -6,11 +6,12 @@ them is known, into the next shorter ones, and so on. The score of a text is the
 is the share of the best language after exponentiation (a probability, if words were independent).
 
 The model is fitted on a bounded sample of the labelled rows: each language gives about ``sample`` documents (all, if it has
-fewer), chosen by a hash of their text, and the WORDS and GRAMS most frequent entries of them are kept. So the model is
-bounded and is sent to the tasks; every text is scored as a whole.
+fewer), chosen by a hash of their text, and WORDS words and GRAMS n-grams of each length are kept: those with the largest share of any
+one language, so a language with few rows keeps its own. So the model is bounded and is sent to the tasks; every text is
+scored as a whole. ``evidence`` is the share of its words of which the model knows something.
 
 Defined cases: a null text or one without letters is ``und`` with score 0; letters of no known word or n-gram give the most
-frequent language with its share; no labelled rows make every text ``und``; null labels are not learned from; equal scores
+frequent language with its share and no evidence; more than ``most_languages`` learned ones are an error; no labelled rows make every text ``und``; null labels are not learned from; equal scores
 go to the smaller name; repeated rows are predicted alike. Columns are carried in one struct.
 """
 
@@ -28,10 +29,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinloom.llm.shared import store
+
 SAMPLE = 2000
 WORDS = 60_000
 GRAMS = 60_000
 LONGEST = 4
+MOST_LANGUAGES = 1024
 CACHED_WORDS = 200_000
 UNKNOWN = "und"
 LETTERS = r"[^\p{L}]+"
@@ -52,8 +56,8 @@ class Model:
     words: Table
     grams: list[Table] = field(default_factory=list)
 
-    def word(self, word: str) -> np.ndarray:
-        """Log scores of a word, one per language; zeros if nothing of it is known."""
+    def word(self, word: str) -> np.ndarray | None:
+        """Log scores of a word, one per language; none if nothing of it is known."""
         known = self.words.places.get(word)
         if known is not None:
             return self.words.scores[known]
@@ -63,7 +67,7 @@ class Model:
             found = [table.places[g] for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if g in table.places]
             if found:
                 return table.scores[found].mean(axis=0)
-        return np.zeros(len(self.languages))
+        return None
 
 
 def _words(text: pa.Array) -> pa.ListArray:
@@ -96,10 +100,12 @@ def _count(longest: int):
     return run
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS, longest: int = LONGEST) -> Model:
+def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS, longest: int = LONGEST, most_languages: int = MOST_LANGUAGES) -> Model:
     """A model from ``text, lang`` rows. Reads about ``sample`` documents per language, and keeps bounded tables."""
     usable = labelled.where("lang is not null and text is not null")
-    totals = usable.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(256).collect()
+    totals = usable.groupBy("lang").count().limit(most_languages + 1).collect()
+    if len(totals) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
     languages = sorted(r["lang"] for r in totals)
     documents = {r["lang"]: r["count"] for r in totals}
     if not languages:
@@ -108,17 +114,23 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
     tables: list[Table] = []
     share = F.create_map(*[F.lit(v) for x in languages for v in (x, min(1.0, sample / documents[x]))])
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = usable.where(F.col("lang").isin(languages)).where(place < share[F.col("lang")]).select("lang", "text")
-    counted = chosen.mapInArrow(_count(longest), "lang string, n int, item string, found long").groupBy("n", "item", "lang").agg(F.sum("found").alias("found"))
-    whole = counted.groupBy("n", "item").agg(F.sum("found").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "found"))).alias("by"))
+    chosen = usable.where(place < share[F.col("lang")]).select("lang", "text")
+    found_ = chosen.mapInArrow(_count(longest), "lang string, n int, item string, found long").groupBy("n", "item", "lang").agg(F.sum("found").alias("found"))
+    # Counted once; the sums and the tables are read from there.
+    counted = store(found_, "counted")
+    sums = counted.groupBy("n", "lang").agg(F.sum("found").alias("every"))
+    base = {(r["n"], r["lang"]): r["every"] for r in sums.collect()}
+    shares = counted.join(F.broadcast(sums), ["n", "lang"]).withColumn("share", F.col("found") / F.col("every"))
+    whole = store(
+        shares.groupBy("n", "item").agg(F.max("share").alias("share"), F.map_from_entries(F.collect_list(F.struct("lang", "found"))).alias("by")), "entries"
+    )
     # One bounded list of words and one per n-gram length.
-    sums = {(r["n"], r["lang"]): r["s"] for r in counted.groupBy("n", "lang").agg(F.sum("found").alias("s")).collect()}
     for n in range(longest + 1):
-        top = whole.where(F.col("n") == n).orderBy(F.col("total").desc(), "item").limit(words if n == 0 else grams)
+        top = whole.where(F.col("n") == n).orderBy(F.col("share").desc(), "item").limit(words if n == 0 else grams)
         rows = top.select("item", *[F.coalesce(F.col("by")[x], F.lit(0)).alias(f"c{i}") for i, x in enumerate(languages)]).toPandas()
         found = rows.iloc[:, 1:].to_numpy(np.float64)
-        base = np.array([sums.get((n, x), 0) for x in languages], np.float64)
-        logs = np.log((found + 0.5) / (base + 0.5 * max(1, len(rows))))
+        seen = np.array([base.get((n, x), 0) for x in languages], np.float64)
+        logs = np.log((found + 0.5) / (seen + 0.5 * max(1, len(rows))))
         scores = logs - logs.max(axis=1, keepdims=True) if len(rows) else logs
         tables.append(Table({item: i for i, item in enumerate(rows["item"])}, scores))
     return Model(languages, np.array([documents[x] / every for x in languages]), tables[0], tables[1:])
@@ -128,7 +140,8 @@ def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         cache: dict[str, int] = {}
-        known = np.zeros((1024, len(model.languages)))
+        # Scores of the words met so far, and as a last column whether the model knows something of them.
+        known = np.zeros((1024, len(model.languages) + 1))
         for batch in batches:
             split = _words(batch["text"])
             items = pc.list_flatten(split)
@@ -143,7 +156,8 @@ def _predict(shared):
                     at = cache[word] = len(cache)
                     if at >= len(known):
                         known = np.concatenate((known, np.zeros_like(known)))
-                    known[at] = model.word(word) if word else 0.0
+                    scores = model.word(word) if word else None
+                    known[at] = 0.0 if scores is None else np.append(scores, 1.0)
                 rows[i] = at
             parents = pc.list_parent_indices(split).to_numpy()
             letters = np.array([bool(w) for w in names], bool)
@@ -151,7 +165,9 @@ def _predict(shared):
             sums = np.zeros((batch.num_rows, len(model.languages)))
             for j in range(len(model.languages)):
                 sums[:, j] = np.bincount(parents, known[rows[codes], j], batch.num_rows) if len(codes) else 0
-            lettered = np.bincount(parents, letters[codes], batch.num_rows) > 0 if len(codes) else np.zeros(batch.num_rows, bool)
+            words = np.bincount(parents, letters[codes], batch.num_rows) if len(codes) else np.zeros(batch.num_rows)
+            lettered = words > 0
+            evidence = (np.bincount(parents, known[rows[codes], -1], batch.num_rows) if len(codes) else words) / np.maximum(1, words)
             if model.languages:
                 sums += np.log(model.shares)
                 best = sums.argmax(axis=1)
@@ -160,17 +176,18 @@ def _predict(shared):
                 score = np.where(lettered, share, 0.0)
             else:
                 lang, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(lang, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
+            columns = [batch["row"], pa.array(lang, pa.string()), pa.array(score), pa.array(evidence)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "lang_pred", "score", "evidence"])
 
     return run
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """``row`` (the columns of ``carry``, or all), ``lang_pred, score`` of every text."""
+    """``row`` (the columns of ``carry``, or all), ``lang_pred, score, evidence`` of every text."""
     read = docs.select(F.struct(*map(F.col, docs.columns if carry is None else carry)).alias("row"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = read.schema["row"].dataType.simpleString()
-    return read.mapInArrow(_predict(shared), f"row {kind}, lang_pred string, score double")
+    return read.mapInArrow(_predict(shared), f"row {kind}, lang_pred string, score double, evidence double")
 
 
 def held_out(identity: str = "doc_id"):
