@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 from clinloom.llm import langid, minhash, mixing, packing, repeats
 from clinloom.llm.shared import WORDS, store, table
 
-#: Predictions below this probability are rejected; with several languages in the model an even guess is far below.
+#: Predictions below this probability are rejected. A text of no known word or n-gram scores what its label shares give, so
+#: something must be known of this share of its words.
 LEAST_SCORE = 0.5
+LEAST_EVIDENCE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; a missing label is filled in with the prediction."""
     model = langid.fit(docs.select("text", "lang"))
     predicted = langid.predict(docs, model)
-    kept = predicted.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    kept = predicted.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE) & (F.col("evidence") >= LEAST_EVIDENCE))
     filled = F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias("lang")
     return kept.select(*[filled if c == "lang" else F.col(f"row.{c}").alias(c) for c in docs.columns])
 
