@@ -121,13 +121,13 @@ def _rows(messages: DataFrame, kind: str, rows: Column, carry: tuple[str, ...])
     return _segments(messages).select(F.explode(readable).alias("row"), *carry).select("row.*", *carry)
 
 
-def rejects(messages: DataFrame) -> DataFrame:
-    """Messages of a known type that lack a segment or field their parser needs, with the reason."""
+def rejects(messages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Messages of a known type that lack a segment or field their parser needs, with the reason and carried columns."""
     kind = F.col("message_type")
     reason = F.coalesce(*[F.when(kind == known, _complaints(known)) for known in REQUIRED])
     known = messages.where(kind.isin(*REQUIRED))
     checked = _segments(known).withColumn("reason", reason).where(F.col("reason").isNotNull())
-    return checked.select("control_id", "message_type", "reason", "message")
+    return checked.select("control_id", "message_type", "reason", "message", *carry)
 
 
 def _optional(segment: str, index: int) -> Column:

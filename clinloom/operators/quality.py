@@ -51,27 +51,47 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 def evaluate(tables: Mapping[str, DataFrame], rules: list[Rule]) -> DataFrame:
     """One report row for each rule.
 
-    All null and value rules of a table share one pass over it; each unique rule and each relationship
-    has its own, which only reads the columns it names.
+    All null and value rules of a table share one pass over it. All unique rules and relationships, of all tables, share one
+    aggregation of (rule, key) pairs, which reads of each table only the columns that its rules name: one shuffle for the
+    whole report. Keys are compared as text, whole, so the counts are exact; many rows of one key combine before the shuffle.
     """
-    reports = []
-    for table in dict.fromkeys(rule.table for rule in rules):
-        df, own = tables[table], [rule for rule in rules if rule.table == table]
-        row_rules = [rule for rule in own if rule.kind in (NOT_NULL, ACCEPTED)]
-        if row_rules:
-            reports.append(_one_pass(df, row_rules))
-        for rule in own:
-            if rule.kind == UNIQUE:
-                reports.append(_counted(duplicated(df, rule.column), rule))
-            elif rule.kind == RELATIONSHIP:
-                parent = tables[rule.parent]
-                reports.append(_counted(orphans(df, rule.column, parent, rule.parent_column), rule))
+    reports = [_one_pass(df, own) for table, df in tables.items() if (own := [r for r in rules if r.table == table and r.kind in (NOT_NULL, ACCEPTED)])]
+    keyed = [rule for rule in rules if rule.kind in (UNIQUE, RELATIONSHIP)]
+    if keyed:
+        reports.append(_keyed_rules(tables, keyed))
     report = reports[0]
     for part in reports[1:]:
         report = report.unionByName(part)
     return report
 
 
+def _keyed_rules(tables: Mapping[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """Unique: keys that more than one row has. Relationship: rows whose key no parent has."""
+    read: dict[str, list] = {}
+    for number, rule in enumerate(rules):
+        read.setdefault(rule.table, []).append(_pair(number, rule.column, rows=1))
+        if rule.kind == RELATIONSHIP:
+            read.setdefault(rule.parent, []).append(_pair(number, rule.parent_column, rows=0))
+    pairs = [tables[table].select(F.inline(F.array(*wanted))) for table, wanted in read.items()]
+    every = pairs[0]
+    for part in pairs[1:]:
+        every = every.unionByName(part)
+    groups = every.where("key is not null").groupBy("rule", "key").agg(F.sum("rows").alias("rows"), F.min("rows").alias("least"))
+    unique = F.array(*[F.lit(n) for n, rule in enumerate(rules) if rule.kind == UNIQUE]).cast("array<int>")
+    # A parent's row counts 0, so a group with a parent has 0 as its least.
+    failures = F.when(F.array_contains(unique, F.col("rule")), (F.col("rows") > 1).cast("long")).otherwise(F.when(F.col("least") > 0, F.col("rows")).otherwise(0))
+    counted = groups.groupBy("rule").agg(F.sum(failures).alias("found"))
+    spark = every.sparkSession
+    declared = spark.createDataFrame([(n, r.table, r.column, r.kind) for n, r in enumerate(rules)], "rule int, table_name string, column_name string, kind string")
+    # One row for each rule.
+    report = declared.join(F.broadcast(counted), "rule", "left")
+    return report.select("table_name", "column_name", F.col("kind").alias("rule"), F.coalesce("found", F.lit(0)).cast("long").alias("failures"))
+
+
+def _pair(number: int, column: str, rows: int):
+    return F.struct(F.lit(number).alias("rule"), F.col(column).cast("string").alias("key"), F.lit(rows).cast("long").alias("rows"))
+
+
 def _one_pass(df: DataFrame, rules: list[Rule]) -> DataFrame:
     counts = []
     for rule in rules:
@@ -81,10 +101,6 @@ def _one_pass(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.agg(F.array(*counts).alias("_report")).select(F.inline("_report"))
 
 
-def _counted(failing: DataFrame, rule: Rule) -> DataFrame:
-    return failing.agg(F.count("*").alias("failures")).select(*_labels(rule), "failures")
-
-
 def _labels(rule: Rule) -> list:
     return [
         F.lit(rule.table).alias("table_name"),

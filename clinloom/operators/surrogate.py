@@ -2,64 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SINGLE_TASK_ROWS = 1_000_000
-SAMPLE_PER_BUCKET = 20
+from clinloom.session import scratch_dir
 
+# ``monotonically_increasing_id`` holds the partition above these bits and the row's number in it below them.
+ROW_BITS = 33
 
-def surrogate_key(df: DataFrame, key: str, name: str, single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
-    """``row_number() over (order by key)`` as the first column.
-
-    A plain ordered window runs in one task, so it is used only after a count of the rows; larger inputs are ranked
-    bucket by bucket.
-    """
-    rows = df.count()
-    if rows <= single_task_rows:
-        rank = F.row_number().over(W.orderBy(F.col(key).asc_nulls_last())).cast("long")
-        return df.select(rank.alias(name), "*")
-    return ranked_in_buckets(df, key, name, rows, -(-rows // single_task_rows) * 4)
 
+def surrogate_key(df: DataFrame, key: str, name: str, partitions: int | None = None) -> DataFrame:
+    """``row_number() over (order by key)`` as the first column, nulls last; equal keys by a hash of the row.
 
-def ranked_in_buckets(df: DataFrame, key: str, name: str, rows: int, buckets: int) -> DataFrame:
-    """Dense rank by key with a bounded share of the rows in each task.
-
-    Bucket bounds come from a sample of the keys and enter the plan as literals, so a row's bucket is a pure function
-    of its key and survives recomputation after a lost executor. The row's rank is its number inside the bucket plus
-    the row count of the buckets before; that table has one row for each bucket, which bounds the broadcast.
-    Keys are expected to be unique; equal keys share a bucket.
+    Rows are dealt to ranges of the key, sorted inside each, and written once with their place. A row's rank is its number
+    in its partition plus the rows of all partitions before; those counts are one row for each partition. No task orders
+    more than a range, and since the hash takes part in the ranges, many equal or null keys are spread like any others.
+    The frame reads what was written, so ranks stay the same whatever is computed again.
     """
-    bounds = _bucket_bounds(df, key, rows, buckets)
-    placed = df.withColumn("_bucket", bucket_of(F.col(key), bounds))
-    sizes = placed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    in_bucket = F.row_number().over(W.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_last()))
-    # Every bucket has an offset; a left join says so without filtering the bucket expression a second time.
-    ranked = placed.withColumn("_in_bucket", in_bucket).join(F.broadcast(offsets), "_bucket", "left")
-    return ranked.select((F.col("_in_bucket") + F.col("_before")).alias(name), *df.columns)
-
-
-def bucket_of(key: Column, bounds: list) -> Column:
-    """Number of bounds at or below the key (binary search); null keys go to a last bucket of their own."""
-    if not bounds:
-        return F.when(key.isNull(), F.lit(1)).otherwise(F.lit(0))
-    table = F.array(*[F.lit(b) for b in bounds])
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(F.get(table, at + step - 1) <= key, at + step).otherwise(at),
-    )
-    return F.when(key.isNull(), F.lit(len(bounds) + 1)).otherwise(found)
-
-
-def _bucket_bounds(df: DataFrame, key: str, rows: int, buckets: int) -> list:
-    """At most ``buckets - 1`` ascending keys, taken from a sample whose size depends on the bucket count alone."""
-    wanted = buckets * SAMPLE_PER_BUCKET
-    sample = df.select(key).where(F.col(key).isNotNull()).sample(min(1.0, wanted / max(rows, 1)), seed=7)
-    keys = sorted(row[0] for row in sample.limit(4 * wanted).collect())
-    cuts = {keys[len(keys) * i // buckets] for i in range(1, buckets)} if keys else set()
-    return sorted(cuts)
+    order = [F.col(key).asc_nulls_last(), F.xxhash64(*df.columns)]
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    place = scratch_dir(df.sparkSession, "ranked")
+    ranged.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(place)
+    stored = df.sparkSession.read.schema(ranged.select("*", F.lit(0).cast("long").alias("_at")).schema).parquet(place)
+    part, number = F.shiftright("_at", ROW_BITS), F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    placed = stored.withColumns({"_part": part, "_number": number})
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    # One row for each written partition.
+    ranked = placed.join(F.broadcast(offsets), "_part")
+    return ranked.select((F.col("_before") + F.col("_number") + 1).alias(name), *df.columns)

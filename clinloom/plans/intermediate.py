@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.functions import avg_exact, hours_between, labelled, literal_date, whole_days
+from clinloom.operators.distinct import distinct_counts
 from clinloom.operators.joins import left_join_many
 from clinloom.operators.spine import densify
 
@@ -179,12 +180,15 @@ def int_provider_panel_metrics(encounters: DataFrame, providers: DataFrame) -> D
 
     Encounters are aggregated first, so the provider lookup joins one row for each pair instead of each encounter.
     """
-    pairs = encounters.groupBy("provider_npi", "patient_id").agg(
-        F.count("*").alias("encounter_count"),
-        F.min("encounter_start").alias("first_encounter_date"),
-        F.max("encounter_start").alias("last_encounter_date"),
-        F.count_distinct("encounter_class").alias("distinct_encounter_classes"),
-        F.count_distinct("primary_diagnosis_code").alias("distinct_diagnoses"),
+    pairs = distinct_counts(
+        encounters,
+        ["provider_npi", "patient_id"],
+        {"distinct_encounter_classes": "encounter_class", "distinct_diagnoses": "primary_diagnosis_code"},
+        {
+            "encounter_count": (F.count("*"), "sum"),
+            "first_encounter_date": (F.min("encounter_start"), "min"),
+            "last_encounter_date": (F.max("encounter_start"), "max"),
+        },
     )
     lookup = providers.select(F.col("npi").alias("provider_npi"), "provider_id", "supervising_physician_id")
     return pairs.join(lookup, "provider_npi", "left").select(

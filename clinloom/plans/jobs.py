@@ -8,20 +8,25 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.operators.keyed import BATCHED, latest_per_key, upsert, with_load_metadata
+from clinloom.operators.buckets import BucketedTable
+from clinloom.operators.keyed import BATCHED, with_load_metadata
 from clinloom.operators.quality import evaluate, with_defaults
+from clinloom.operators.quarantine import split
 from clinloom.operators.store import TableStore
 from clinloom.plans import intermediate, marts
-from clinloom.plans.rules import MART_RULES, STAGING_RULES
+from clinloom.plans.rules import MART_RULES, SOURCE_RULES, STAGING_RULES
 from clinloom.plans.staging import STAGING
-from clinloom.sources.catalog import RAW, select_streams, tables_of
+from clinloom.sources.catalog import RAW, TABLES, select_streams, tables_of
 from clinloom.sources.csv_drops import read_csv_drop
 from clinloom.sources.documents import raw_resources, read_bundles, read_crm
 from clinloom.sources.relational import read_extract, read_jdbc
 from clinloom.sources.schemas import FHIR, RELATIONAL, RELATIONAL_DEFAULTS
-from clinloom.streaming.hl7_feed import message_log, parsed_rows, start_feed
+from clinloom.streaming.hl7_feed import start_feed
+from clinloom.streaming.hl7_tables import start_tables
 
 MARTS = "marts"
+# Rows that broke a constraint of their source, of all raw tables.
+QUARANTINE = "quarantine"
 # Rows of these facts are ordered inside each file, so reports on one day skip row groups.
 SORTED_BY = {"fact_provider_case_load": ["date_key"], "fact_patient_utilization": ["date_key"]}
 
@@ -65,8 +70,8 @@ class Places:
     multi_line: bool = True
 
 
-def extract(spark: SparkSession, source: str, places: Places, store: TableStore) -> dict[str, DataFrame]:
-    """Rows of a source's raw tables, before load columns; lazy except for the HL7 intake."""
+def extract(spark: SparkSession, source: str, places: Places) -> dict[str, DataFrame]:
+    """Rows of a source's raw tables, before load columns; lazy. The HL7 feed is a stream and has no extract."""
     if source == "oltp":
         return _extract_relational(spark, places)
     if source == "s3_landing":
@@ -82,8 +87,6 @@ def extract(spark: SparkSession, source: str, places: Places, store: TableStore)
             stream: raw_resources(read_bundles(spark, f"{places.bundles}/{stream}", stream, places.multi_line))
             for stream in FHIR
         }
-    if source == "hl7_engine":
-        return _extract_hl7(spark, places, store)
     raise ValueError(f"unknown source: {source}")
 
 
@@ -99,45 +102,50 @@ def _extract_relational(spark: SparkSession, places: Places) -> dict[str, DataFr
     return {stream.removeprefix("public-"): frame for stream, frame in chosen.items()}
 
 
-def _extract_hl7(spark: SparkSession, places: Places, store: TableStore) -> dict[str, DataFrame]:
-    """Take in new landing files, then parse the batches each raw table does not hold yet."""
-    start_feed(spark, places.landing, places.feed_log, places.feed_checkpoint).awaitTermination()
-    frames = {}
-    for table, rows in parsed_rows(message_log(spark, places.feed_log)).items():
-        loaded = -1
-        if store.exists(RAW, table):
-            last = store.read(RAW, table).agg(F.max("batch")).first()[0]
-            loaded = -1 if last is None else last
-        frames[table] = rows.where(F.col("batch") > loaded)
-    return frames
-
-
-def load_source(
-    spark: SparkSession, source: str, places: Places, store: TableStore, at: dt.datetime
-) -> dict[str, DataFrame]:
-    """Merge one source into its raw tables by key; rows absent from the source stay."""
-    frames = extract(spark, source, places, store)
+def raw_table(store: TableStore, name: str) -> BucketedTable:
+    """A raw table; its name says its source, since names are unique."""
+    if name == QUARANTINE:
+        return BucketedTable(store, RAW, name, ["table_name", "digest"])
+    table = next(table for table in TABLES.values() if table.name == name and table.extracted)
+    return BucketedTable(store, RAW, name, list(table.keys), table.buckets)
+
+
+def load_source(spark: SparkSession, source: str, places: Places, store: TableStore, at: dt.datetime) -> dict[str, DataFrame]:
+    """Merge one source into its raw tables by key; rows absent from the source stay.
+
+    Rows that break a constraint of their source, or lack a key, go to the quarantine table with the reasons. Tables are
+    loaded after those they refer to, so a reference is looked up among all rows that were ever accepted.
+    """
+    if source == "hl7_engine":
+        return _load_hl7(spark, places, store, at)
     loaded = {}
-    for table in tables_of(source):
-        if table.name not in frames:
-            continue
-        batch = with_load_metadata(frames[table.name], at, store.version(RAW, table.name) + 1)
-        order = [c for c in ("batch",) if c in batch.columns] + [BATCHED]
-        keys = list(table.keys)
-        if store.exists(RAW, table.name):
-            rows = upsert(store.read(RAW, table.name), batch, keys, order)
-        else:
-            rows = latest_per_key(batch, keys, order)
-        loaded[table.name] = store.write(rows, RAW, table.name)
+    for name, frame in extract(spark, source, places).items():
+        table, rules = raw_table(store, name), [rule for rule in SOURCE_RULES if source == "oltp" and rule.table == name]
+        parents = {rule.parent: raw_table(store, rule.parent) for rule in rules if rule.parent}
+        held = {parent: frame.read() for parent, frame in parents.items() if frame.exists()}
+        accepted, others = split(frame, name, rules, table.keys, held)
+        table.upsert(with_load_metadata(accepted, at, table.version() + 1), [BATCHED])
+        raw_table(store, QUARANTINE).upsert(with_load_metadata(others, at, table.version()), [BATCHED])
+        if table.exists():
+            loaded[name] = table.read()
     return loaded
 
 
+def _load_hl7(spark: SparkSession, places: Places, store: TableStore, at: dt.datetime) -> dict[str, DataFrame]:
+    """Take new landing files into the message log, then what is new in the log into the raw tables."""
+    start_feed(spark, places.landing, places.feed_log, places.feed_checkpoint).awaitTermination()
+    start_tables(spark, places.feed_log, f"{places.feed_checkpoint}-tables", store, at).awaitTermination()
+    tables = {table.name: raw_table(store, table.name) for table in tables_of("hl7_engine")}
+    return {name: table.read() for name, table in tables.items() if table.exists()}
+
+
 def staging_views(store: TableStore) -> dict[str, DataFrame]:
     """Staging models over the raw tables that exist, also registered as views."""
     views = {}
-    for model, (table, build) in STAGING.items():
-        if store.exists(RAW, table):
-            views[model] = build(store.read(RAW, table))
+    for model, (name, build) in STAGING.items():
+        table = raw_table(store, name)
+        if table.exists():
+            views[model] = build(table.read())
             views[model].createOrReplaceTempView(model)
     return views
 
@@ -169,11 +177,15 @@ def intermediate_views(stg: dict[str, DataFrame], start_date: dt.date | str, as_
 def build_marts(
     store: TableStore, stg: dict[str, DataFrame], start_date: dt.date | str, as_of: dt.date | str
 ) -> dict[str, DataFrame]:
-    """Write the marts in dependency order; each later mart reads the written earlier ones."""
+    """Write the marts in dependency order; each later mart reads the written earlier ones.
+
+    Of a mart's older versions the last one stays, for reports that still read it.
+    """
     built: dict[str, DataFrame] = {}
 
     def publish(name: str, frame: DataFrame) -> DataFrame:
         built[name] = store.write(frame, MARTS, name, sort_by=SORTED_BY.get(name))
+        store.expire(MARTS, name, keep=2)
         return built[name]
 
     states, physicians, providers = (stg[f"stg_oltp__{t}"] for t in ("states", "physicians", "providers"))
@@ -232,8 +244,9 @@ def run_job(
     stg = staging_views(store)
     intermediate_views(stg, start_date, as_of)
     report = rule_report({**stg, **build_marts(store, stg, start_date, as_of)})
-    if gate:
-        failing = report.where(F.col("failures") > 0).collect()
-        if failing:
-            raise QualityError(failing)
-    return report
+    # One row for each declared rule.
+    found = report.collect()
+    failing = [row for row in found if row.failures]
+    if gate and failing:
+        raise QualityError(failing)
+    return spark.createDataFrame(found, report.schema)

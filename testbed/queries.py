@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinloom.functions import as_uuid, hl7_timestamp, json_text
-from clinloom.operators import hl7, keyed, quality
+from clinloom.operators import hl7, keyed, quality, quarantine
+from clinloom.operators.buckets import BucketedTable
 from clinloom.operators.spine import days
 from clinloom.operators.store import TableStore
-from clinloom.operators.surrogate import ranked_in_buckets
+from clinloom.operators.surrogate import surrogate_key
 from clinloom.plans import intermediate, jobs, marts, reports, rules, staging
 from clinloom.session import scratch_dir, tune
 from clinloom.sources.catalog import register_views, select_streams
@@ -20,14 +22,14 @@ from clinloom.sources.csv_drops import contact_rows, deal_rows, read_csv_drop, w
 from clinloom.sources.documents import raw_resources, read_bundles, read_crm, read_parsed_hl7
 from clinloom.sources.mllp import read_messages, write_messages
 from clinloom.streaming.hl7_feed import current_tables, start_feed, table_counts
+from clinloom.streaming.hl7_tables import REJECTS, UNKNOWN_TYPE, start_tables, target
 from testbed import oracle
 from testbed.bed import LOADED_AT, Bed
-from testbed.flat import duck_ctes, uuid_of
+from testbed.flat import REVIEW_KEY, duck_ctes, uuid_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 DAYS = {"start_date": oracle.START_DATE, "as_of": oracle.AS_OF}
-SPLIT_BYTES = 1 << 20
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -163,10 +165,10 @@ def json_props(bed: Bed) -> DataFrame:
     "union all select 'ORU^R01', count(*) from lineitem",
 )
 def hl7_route_counts(bed: Bed) -> DataFrame:
-    """All messages written as framed landing files, cut again (small files whole, large ones in splits) and typed."""
+    """All messages written as framed landing files, cut again in splits and typed."""
     base = scratch_dir(bed.spark, "landing")
     write_messages(bed.messages(), base)
-    return hl7.route_counts(hl7.with_header(read_messages(bed.spark, base, SPLIT_BYTES)))
+    return hl7.route_counts(hl7.with_header(read_messages(bed.spark, base)))
 
 
 @query(
@@ -192,11 +194,63 @@ def hl7_stream_available_now(bed: Bed) -> DataFrame:
     base = scratch_dir(bed.spark, "feed")
     write_messages(bed.messages(), f"{base}/landing/first")
     write_messages(bed.admission_messages(), f"{base}/landing/second")
-    query = start_feed(bed.spark, f"{base}/landing/*", f"{base}/log", f"{base}/state", whole_file_bytes=SPLIT_BYTES)
+    query = start_feed(bed.spark, f"{base}/landing/*", f"{base}/log", f"{base}/state")
     query.awaitTermination()
     return table_counts(current_tables(bed.spark, f"{base}/log"))
 
 
+CORRECTED = "cast(substr(message_id, 4) as bigint) % 5 = 0"
+
+
+@query(
+    "hl7_redelivery",
+    f"{duck_ctes('admissions')} select * replace (if({CORRECTED}, 'X', patient_class) as patient_class) from admissions",
+)
+def hl7_redelivery(bed: Bed) -> DataFrame:
+    """Admissions through both streams into their raw table; all come again, a fifth of them also corrected."""
+    base = scratch_dir(bed.spark, "redelivery")
+    store = TableStore(bed.spark, f"{base}/warehouse")
+    sent = bed.admission_messages()
+    corrected = F.regexp_replace("message", r"(?m)^PV1\|1\|[^|]*", "PV1|1|X").alias("message")
+    fifth = F.regexp_extract("message", r"\|ADT(\d+)\|", 1).cast("long") % 5 == 0
+    for number, messages in enumerate((sent, sent.unionByName(sent.where(fifth).select(corrected)))):
+        write_messages(messages, f"{base}/landing/{number}")
+        start_feed(bed.spark, f"{base}/landing/*", f"{base}/log", f"{base}/state").awaitTermination()
+        start_tables(bed.spark, f"{base}/log", f"{base}/tables", store, LOADED_AT).awaitTermination()
+    return staging.stg_admissions(target(store, "hl7_admissions").read())
+
+
+DAMAGED = {
+    "ADT^A01": ("'ADT' || o_orderkey", "PID", "select o_orderkey from orders where o_orderkey % 7 = 0"),
+    "ORU^R01": (f"'ORU' || {REVIEW_KEY}", "OBR", "select * from lineitem where l_orderkey % 7 = 0"),
+}
+
+
+@query(
+    "hl7_rejects",
+    f"select 'UPD' || o_orderkey as control_id, 'ADT^A08' as message_type, '{UNKNOWN_TYPE}' as reason, count(*) as n_messages "
+    "from orders where o_orderstatus = 'P' group by all "
+    + " ".join(
+        f"union all select distinct {key}, '{kind}', '{segment} missing or short', 1 from ({rows})" for kind, (key, segment, rows) in DAMAGED.items()
+    ),
+)
+def hl7_rejects(bed: Bed) -> DataFrame:
+    """Sound, unknown and damaged messages through both streams; what no raw table takes, with the reason."""
+    base = scratch_dir(bed.spark, "rejects")
+    store = TableStore(bed.spark, f"{base}/warehouse")
+    number = F.coalesce(F.try_to_number(F.regexp_extract("message", r"\|(?:ADT|ORU)(\d+)[-|]", 1), F.lit("9999999999")), F.lit(1))
+    without = [
+        rows.where(number % 7 == 0).select(F.regexp_replace("message", rf"\n{segment}[^\n]*", "").alias("message"))
+        for rows, segment in ((bed.admission_messages(), "PID"), (bed.lab_messages(), "OBR"))
+    ]
+    write_messages(bed.messages().unionByName(without[0]).unionByName(without[1]), f"{base}/landing")
+    start_feed(bed.spark, f"{base}/landing", f"{base}/log", f"{base}/state").awaitTermination()
+    start_tables(bed.spark, f"{base}/log", f"{base}/tables", store, LOADED_AT).awaitTermination()
+    kept = target(store, REJECTS).read()
+    # Lines that share a key give messages that differ in their text alone.
+    return kept.groupBy("control_id", "message_type", "reason").agg(F.lit(1).cast("long").alias("n_messages"))
+
+
 @query(
     "hl7_timestamps",
     """select o_orderkey, case o_orderkey % 5 when 0 then t when 1 then date_trunc('minute', t)
@@ -351,9 +405,8 @@ def date_spine(bed: Bed) -> DataFrame:
     f"{duck_ctes('cases')} select row_number() over (order by id) as case_key, id from cases",
 )
 def surrogate_key_scaled(bed: Bed) -> DataFrame:
-    """The bucketed form of the surrogate key, over all cases."""
-    cases = bed.raw("cases").select("id")
-    return ranked_in_buckets(cases, "id", "case_key", cases.count(), buckets=16)
+    """The surrogate key of all cases, ranked in ranges of the key."""
+    return surrogate_key(bed.raw("cases").select("id"), "id", "case_key")
 
 
 @query(
@@ -418,6 +471,51 @@ def load_upsert(bed: Bed) -> DataFrame:
     return keyed.upsert(target, orders.where(LATER), ["o_custkey"], ORDER)
 
 
+@query(
+    "load_upsert_buckets",
+    """select o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from orders
+    qualify row_number() over (partition by o_custkey
+      order by o_orderdate >= timestamp '1998-01-01' desc, o_orderdate desc, o_orderkey desc) = 1""",
+)
+def load_upsert_buckets(bed: Bed) -> DataFrame:
+    """The same in a table of hash buckets, of which each batch rewrites those it touches; the second batch comes twice."""
+    orders = bed.base("orders")
+    table = BucketedTable(TableStore(bed.spark, scratch_dir(bed.spark, "buckets")), "raw", "last_orders", ["o_custkey"], buckets=16)
+    for batch in (orders.where(f"not ({LATER})"), orders.where(LATER), orders.where(LATER)):
+        table.upsert(batch, ORDER)
+    return table.read()
+
+
+@query(
+    "load_quarantine",
+    f"""{duck_ctes('cases', 'case_reviews', 'providers', 'physicians')}, broken as (
+      select id, case when o % 11 = 0 then 'status accepted_values' end as a, case when o % 13 = 0 then 'case_type not_null' end as b,
+        case when o % 17 = 0 then 'provider_id relationships' end as c
+      from (select *, hash_of(id) as o from cases)
+    ), found as (
+      select 'cases' as table_name, id, concat_ws(', ', b, a, c) as reasons from broken where coalesce(a, b, c) is not null
+      union all
+      select 'case_reviews', r.id, 'case_id relationships' from case_reviews r
+      where r.case_id in (select id from broken where coalesce(a, b, c) is not null)
+    ) select distinct * from found""".replace("hash_of(id)", "('0x' || substr(md5(id), 1, 8))::bigint"),
+)
+def load_quarantine(bed: Bed) -> DataFrame:
+    """Damaged cases kept out at ingest with every reason, and the reviews that thereby lose their case."""
+    number = F.conv(F.substring(F.md5("id"), 1, 8), 16, 10).cast("long")
+    damage = {
+        "status": F.when(number % 11 == 0, "lost").otherwise(F.col("status")),
+        "case_type": F.when(number % 13 != 0, F.col("case_type")),
+        "provider_id": F.when(number % 17 == 0, F.concat(F.lit("no-"), "provider_id")).otherwise(F.col("provider_id")),
+    }
+    held, out = {}, []
+    for table in RELATIONAL:
+        rows = bed.flat(table)
+        own = [rule for rule in rules.SOURCE_RULES if rule.table == table]
+        held[table], kept_out = quarantine.split(rows.withColumns(damage) if table == "cases" else rows, table, own, ["id"], held)
+        out.append(kept_out.select("table_name", json_text("record", "$.id").alias("id"), F.array_join("reasons", ", ").alias("reasons")))
+    return reduce(DataFrame.unionByName, out).distinct()
+
+
 @query(
     "load_insert_ignore",
     """select * from lineitem where l_returnflag <> 'A'

@@ -1,5 +1,7 @@
+import contextlib
 import gzip
 import os
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -7,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clinloom.operators import hl7
-from clinloom.sources.mllp import read_messages, write_messages
+from clinloom.sources.mllp import PIECES, cut_pieces, messages_of, read_messages, split_states, write_messages
 
 HEAD = "MSH|^~\\&|ADMITSYS|HOSPITAL|WAREHOUSE|ANALYTICS|20240102030405||{kind}|{number}|P|2.3"
 PID = "PID|1||MRN1||Doe^Jane||19800101|F|||1 Main St"
@@ -55,22 +57,43 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("limit", [0, 20, 1 << 20])
-def test_frames_are_cut_like_a_byte_scan(spark, tmp_path, limit):
+@contextlib.contextmanager
+def splits_of(spark, size):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def cut(spark, path, size):
+    # The landing files are read at once, in such splits; what is stored is read in usual ones.
+    with splits_of(spark, size):
+        frame = read_messages(spark, path)
+    return sorted(r.message for r in frame.collect())
+
+
+@pytest.mark.parametrize("size", [1, 5, 40, 1 << 20])
+def test_frames_are_cut_like_a_byte_scan_at_every_split_size(spark, tmp_path, size):
     path = land(tmp_path / "in", *CASES)
-    got = sorted(r.message for r in read_messages(spark, path, whole_file_bytes=limit).collect())
-    assert got == sorted(m for case in CASES for m in brute_force(case))
+    assert cut(spark, path, size) == sorted(m for case in CASES for m in brute_force(case))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(pieces=st.lists(st.sampled_from([b"\x0b", b"\x1c\r", b"\x1c", b"\r", b"ab", b"MSH|", b"\n", b"\xff", b"\xc3\xa9"]), max_size=40))
-def test_any_stream_cut_whole_or_in_splits(spark, tmp_path_factory, pieces):
-    data = b"".join(pieces)
-    path = land(tmp_path_factory.mktemp("any"), data, b"\x0bX\x1c\r")
-    expected = sorted([*brute_force(data), "X"])
-    for limit in (0, 1 << 20):
-        got = sorted(r.message for r in read_messages(spark, path, whole_file_bytes=limit).collect())
-        assert got == expected
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    streams=st.lists(
+        st.lists(st.sampled_from([b"\x0b", b"\x0b", b"\x1c\r", b"\x1c", b"\r", b"ab", b"MSH|", b"\n", b"\xff", b"\xc3\xa9", b"\xef\xbb\xbf"]), max_size=30),
+        min_size=1,
+        max_size=12,
+    )
+)
+def test_any_streams_cut_in_splits(spark, tmp_path_factory, streams):
+    contents = [b"".join(pieces) for pieces in streams]
+    path = land(tmp_path_factory.mktemp("any"), *contents, b"\x0bX\x1c\r")
+    expected = sorted([*(m for c in contents for m in brute_force(c)), "X"])
+    for size in (5, 1 << 20):
+        assert cut(spark, path, size) == expected
 
 
 @pytest.mark.parametrize("tail", [b"", b"\x0bunfinished", b"junk"])
@@ -78,27 +101,46 @@ def test_a_large_file_is_read_in_many_splits(spark, tmp_path, tail):
     messages = [f"MSH|{i}|{'x' * (i % 300)}" for i in range(5000)]
     data = b"".join(b"\x0b" + m.encode() + b"\x1c\r" for m in messages) + tail
     path = land(tmp_path / "large", data)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
-    try:
-        read = read_messages(spark, path, whole_file_bytes=0)
-        assert read.rdd.getNumPartitions() > 4
-        assert sorted(r.message for r in read.collect()) == sorted(messages)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with splits_of(spark, 64 << 10):
+        assert cut_pieces(spark, path).rdd.getNumPartitions() > 4
+        place = write_pieces(spark, path, tmp_path)
+    pieces = spark.read.schema(PIECES).parquet(place)
+    assert sorted(r.message for r in messages_of(pieces).collect()) == sorted(messages)
+    # Every split of such a file is taken as it is.
+    assert split_states(pieces).where("mixed").count() == 0
+
+
+def write_pieces(spark, path, folder):
+    cut_pieces(spark, path).write.parquet(str(folder / "pieces"))
+    return str(folder / "pieces")
+
+
+def test_a_frame_may_hold_start_marks_over_many_splits(spark, tmp_path):
+    rng = random.Random(9)
+    frames = [b"".join(rng.choice([b"\x0b", b"abc", b"\n", b"\x0b\x0b"]) for _ in range(rng.randrange(60))) for _ in range(300)]
+    data = b"junk\x1c\r" + b"".join(b"\x0b" + f + b"\x1c\r" + rng.choice([b"", b"zz", b"\x1c\r"]) for f in frames) + b"\x0btail\x0btail"
+    path = land(tmp_path / "in", data, b"no start", b"\x0ball\x0bopen")
+    for size in (16, 100, 1000):
+        assert cut(spark, path, size) == sorted(brute_force(data))
+
+
+def test_files_are_read_once(spark, tmp_path):
+    path = land(tmp_path / "in", *CASES)
+    plan = read_messages(spark, path)._jdf.queryExecution().executedPlan().toString()
+    # What is left to do reads the stored rows.
+    assert "FileScan text" not in plan and "FileScan parquet" in plan
 
 
-@pytest.mark.parametrize("limit", [0, 20, 1 << 20])
-def test_marked_and_compressed_files_lose_nothing(spark, tmp_path, limit):
-    whole = [b"\x0bMSH|%d\x1c\r\x0bMSH|%d%s\x1c\r" % (i, i, b"x" * i) for i in range(40)]
+@pytest.mark.parametrize("size", [16, 1 << 20])
+def test_marked_and_compressed_files_lose_nothing(spark, tmp_path, size):
+    whole = [b"\x0bMSH|%d\x1c\r\x0bMSH|%d%s\x1c\r" % (i, i, b"x" * i) for i in range(12)]
     contents = [b"\xef\xbb\xbf" + c for c in whole] + [b"\xef\xbb\xbf" + c + tail for c, tail in zip(whole, (b"\x0bMSH|t", b"t", b"\x1c"))]
     path = land(tmp_path / "in", *contents)
     packed = whole + [c + b"\x0bMSH|t" for c in whole]
     for i, content in enumerate(packed):
         with open(f"{path}/{i}.hl7.gz", "wb") as file:
             file.write(gzip.compress(content))
-    got = sorted(r.message for r in read_messages(spark, path, whole_file_bytes=limit).collect())
-    assert got == sorted(m for c in (*contents, *packed) for m in brute_force(c))
+    assert cut(spark, path, size) == sorted(m for c in (*contents, *packed) for m in brute_force(c))
 
 
 def test_written_frames_read_back(spark, tmp_path):

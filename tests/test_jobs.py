@@ -19,6 +19,10 @@ def adt(number, name="Doe", kind="ADT^A01"):
     return f"MSH|^~\\&|S|F|W|A|20240101||{kind}|{number}|P|2.3\nPID|1||M||{name}^J||19800101|F\n{visit}"
 
 
+def raw(store, table):
+    return jobs.raw_table(store, table).read()
+
+
 def send(spark, folder, *messages):
     write_messages(spark.createDataFrame([(m,) for m in messages], "message string").coalesce(1), folder)
 
@@ -49,7 +53,7 @@ def test_a_new_checkpoint_neither_replaces_nor_hides_messages(spark, tmp_path):
 
     def run(state):
         start_feed(spark, f"{landing}/*", log, f"{tmp_path}/{state}").awaitTermination()
-        return [r.n for r in message_log(spark, log).groupBy("batch").agg(F.count("*").alias("n")).orderBy("batch").collect()]
+        return [r.n for r in message_log(spark, log).groupBy("landed_at").agg(F.count("*").alias("n")).orderBy("landed_at").collect()]
 
     send(spark, f"{landing}/one", adt("1"))
     assert run("first") == [1]
@@ -99,7 +103,7 @@ def test_marts_hold_their_invariants(spark, warehouse):
     assert load.count() == load.select("physician_key").distinct().count() * 1461
     assert load.join(physicians, "physician_key", "left_anti").count() == 0
     stays = store.read(jobs.MARTS, "fact_patient_encounters")
-    assert stays.count() >= store.read("raw", "hl7_admissions").count()
+    assert stays.count() >= raw(store, "hl7_admissions").count()
     pairs = spark.table("int_appointment_utilization").join(
         store.read(jobs.MARTS, "dim_provider").select(F.col("npi").alias("provider_npi")), "provider_npi", "left_semi"
     )
@@ -109,13 +113,13 @@ def test_marts_hold_their_invariants(spark, warehouse):
 
 def test_second_load_changes_nothing(spark, warehouse):
     places, store, _ = warehouse
-    before = {t: store.read("raw", t).count() for t in ("cases", "contacts_csv", "contacts", "fhir_patients", "hl7_lab_results")}
+    before = {t: raw(store, t).count() for t in ("cases", "contacts_csv", "contacts", "fhir_patients", "hl7_lab_results")}
     assert jobs.run_job(spark, "el-all", places, store, *PERIOD, dt.datetime(2026, 1, 2)) is None
-    after = {t: store.read("raw", t).count() for t in before}
-    assert before == after and store.version("raw", "cases") == 2
-    assert store.read("raw", "cases").select("_sdc_table_version").distinct().first()[0] == 2
+    after = {t: raw(store, t).count() for t in before}
+    assert before == after and jobs.raw_table(store, "cases").version() == 2
+    assert [r[0] for r in raw(store, "cases").select("_sdc_table_version").distinct().collect()] == [2]
     # Messages that were taken in already are not parsed again.
-    assert store.read("raw", "hl7_lab_results").select("_sdc_table_version").distinct().first()[0] == 1
+    assert [r[0] for r in raw(store, "hl7_lab_results").select("_sdc_table_version").distinct().collect()] == [1]
 
 
 def test_the_gate_stops_on_failures(spark, warehouse):
@@ -131,7 +135,7 @@ def test_relational_job_alone(spark, warehouse, tmp_path):
     assert {r.table_name for r in report.collect()} >= {"stg_oltp__cases", "fact_provider_case_load", "dim_provider"}
     assert not store.exists(jobs.MARTS, "dim_patient")
     with pytest.raises(ValueError):
-        jobs.extract(spark, "nowhere", places, store)
+        jobs.extract(spark, "nowhere", places)
 
 
 def test_day_filter_reaches_the_fact_files(spark, warehouse):

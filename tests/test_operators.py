@@ -10,7 +10,9 @@ from clinloom.operators.flatten import flatten_struct
 from clinloom.operators.joins import hot_keys, left_join_many
 from clinloom.operators.spine import date_spine, densify
 from clinloom.operators.store import TableStore
-from clinloom.operators.surrogate import ranked_in_buckets, surrogate_key
+from clinloom.operators import surrogate as surrogate_module
+from clinloom.operators.distinct import distinct_counts
+from clinloom.operators.surrogate import surrogate_key
 
 D = dt.date
 
@@ -61,20 +63,43 @@ def test_dense_days_shuffle_sparse_rows_only(spark):
 # Surrogate keys
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 16])
-def test_bucketed_rank_equals_the_window(spark, rows, buckets):
+@pytest.mark.parametrize("partitions", [1, 3, 16, None])
+def test_rank_over_ranges_equals_the_window(spark, rows, partitions):
     df = spark.range(2000).select(F.md5(F.col("id").cast("string")).alias("k"), "id")
     df = df.unionByName(spark.createDataFrame([(None, -1)], "k string, id long"))
     whole = df.select(F.row_number().over(W.orderBy(F.col("k").asc_nulls_last())).cast("long").alias("key"), "k", "id")
-    assert rows(ranked_in_buckets(df, "k", "key", 2001, buckets)) == rows(whole)
-    assert rows(surrogate_key(df, "k", "key", single_task_rows=100)) == rows(whole)
-    assert rows(surrogate_key(df, "k", "key")) == rows(whole)
+    assert rows(surrogate_key(df, "k", "key", partitions)) == rows(whole)
+
+
+def test_many_nulls_and_equal_keys_are_spread(spark, rows):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit("same")).when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"), "id")
+    ranked = surrogate_key(df, "k", "key", 12)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    got = sorted(ranked.collect())
+    assert [r.key for r in got] == list(range(1, 6001))
+    assert [r.k or "~" for r in got] == sorted([r.k or "~" for r in got])
+    # No window but the one over the partitions' counts, and no partition with most of the rows.
+    assert plan.count("Window [") == 1
+    at = surrogate_module.F.shiftright("_at", surrogate_module.ROW_BITS)
+    sizes = [r["count"] for r in spark.read.parquet(ranked.inputFiles()[0].rsplit("/", 1)[0]).groupBy(at).count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 1500
+    assert rows(ranked) == rows(ranked)
 
 
 def test_rank_of_nothing(spark):
-    empty = spark.createDataFrame([], "k string")
-    assert surrogate_key(empty, "k", "key").count() == 0
-    assert ranked_in_buckets(empty, "k", "key", 0, 4).count() == 0
+    assert surrogate_key(spark.createDataFrame([], "k string"), "k", "key").count() == 0
+
+
+# Distinct counts
+
+
+def test_several_distinct_counts_in_one_aggregation(spark, rows):
+    df = spark.range(3000).select((F.col("id") % 7).alias("k"), (F.col("id") % 11).alias("a"), F.when(F.col("id") % 5 > 0, F.col("id") % 13).alias("b"), "id")
+    df = df.unionByName(spark.createDataFrame([(None, None, None, 5)], "k long, a long, b long, id long"))
+    want = df.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"), F.count_distinct("a").alias("as_"), F.count_distinct("b").alias("bs"))
+    got = distinct_counts(df, ["k"], {"as_": "a", "bs": "b"}, {"n": (F.count("*"), "sum"), "top": (F.max("id"), "max")})
+    assert got.columns == want.columns and rows(got) == rows(want)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 # Joins
@@ -212,3 +237,14 @@ def test_report(spark, rows):
         ("t", "id", "unique", 1),
         ("t", "v", "accepted_values", 1),
     ]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(rule") == 2
+
+
+def test_keyed_rules_of_several_tables(spark):
+    child = spark.createDataFrame([(i, i % 40 if i % 9 else None) for i in range(300)] + [(7, 1)], "id int, parent int")
+    parent = spark.createDataFrame([(i,) for i in range(0, 40, 2)] * 2 + [(None,)], "key long")
+    rules = [quality.Rule("c", "id", "unique"), quality.Rule("c", "parent", "relationships", parent="p", parent_column="key"), quality.Rule("p", "key", "unique"), quality.Rule("p", "key", "relationships", parent="p", parent_column="key")]
+    got = {(r.table_name, r.column_name, r.rule): r.failures for r in quality.evaluate({"c": child, "p": parent}, rules).collect()}
+    odd = sum(1 for i in range(300) if i % 9 and (i % 40) % 2) + 1
+    assert got == {("c", "id", "unique"): 1, ("c", "parent", "relationships"): odd, ("p", "key", "unique"): 20, ("p", "key", "relationships"): 0}
