@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from clinloom.llm.packing import default_vocabulary, slices
 from clinloom.session import scratch_dir
 
-FREQUENT = 20_000
-COMMON = 100_000
+FREQUENT = 100_000
+COMMON = 300_000
 # Bytes of text cut at once (a single text may be longer).
 SLICE_BYTES = 2 << 20
 # Characters of the longest string that a worker or the broadcast table keeps, and chunks that a worker keeps.
@@ -103,7 +103,10 @@ class PreTokens:
         return 1 if pre_token in self.added else len(self.model.tokenize(pre_token.encode().decode("latin-1").translate(self.letters)))
 
     def frequencies(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """``names, edges, codes, counts``: document i holds ``names[codes[j]]`` counts[j] times, j from edges[i] to edges[i + 1]."""
+        """``names, edges, codes, counts``: document i holds ``names[codes[j]]`` counts[j] times, j from edges[i] to edges[i + 1].
+
+        Names are in order, and so are the codes of a document.
+        """
         texts = pc.fill_null(texts, "")
         runs = pc.match_substring_regex(texts, RUN)
         split = pc.split_pattern(pc.if_else(runs, "", texts), " ")
@@ -127,6 +130,12 @@ class PreTokens:
         listed = [[places.setdefault(p, len(places)) for p in self.of_chunk(c)] for c in itertools.chain((" " + w for w in names), (names[f] for f in firsts))]
         lengths = np.fromiter(map(len, listed), np.int64, len(listed))
         flat, starts = np.fromiter(itertools.chain.from_iterable(listed), np.int64, int(lengths.sum())), np.cumsum(lengths) - lengths
+        # Places in order of the strings.
+        names = list(places)
+        order = sorted(range(len(names)), key=names.__getitem__)
+        rank = np.empty(len(names), np.int64)
+        rank[order] = np.arange(len(names))
+        flat = rank[flat]
         # Distinct chunks of each document first: only those are spread out into pre-tokens.
         document = np.repeat(np.arange(len(sizes)), sizes)
         chunk_cells, chunk_counts = np.unique(document * len(listed) + codes, return_counts=True)
@@ -137,7 +146,7 @@ class PreTokens:
         cells, back = np.unique(np.repeat(at, spread) * len(places) + tokens, return_inverse=True)
         counts = np.bincount(back, np.repeat(chunk_counts, spread), len(cells)).astype(np.int64)
         document, tokens = np.divmod(cells, max(1, len(places)))
-        return list(places), np.searchsorted(document, np.arange(len(sizes) + 1)), tokens, counts
+        return [names[i] for i in order], np.searchsorted(document, np.arange(len(sizes) + 1)), tokens, counts
 
 
 @functools.cache
@@ -179,17 +188,11 @@ def _frequencies(path: str, most: int, size: int):
         for batch in itertools.chain.from_iterable(slices(b, most=size) for b in batches):
             names, edges, codes, counts = cutter.frequencies(batch["text"])
             frequent.add(names, np.bincount(codes, minlength=len(names)).tolist())
-            # Pre-tokens in order, and differences of places: both make the table small.
-            order = sorted(range(len(names)), key=names.__getitem__)
-            place = np.empty(len(names), np.int64)
-            place[order] = np.arange(len(names))
-            codes = place[codes]
-            within = np.lexsort((codes, np.repeat(np.arange(len(edges) - 1), np.diff(edges))))
             documents = pa.StructArray.from_arrays([batch["row"], batch["n_bytes"]], ["row", "n_bytes"])
             kind = documents.type
             whole = pa.ListArray.from_arrays(pa.array([0, len(documents)], pa.int32()), documents)
-            steps = np.diff(codes[within], prepend=0)
-            yield row(batch["uid"].slice(0, 1), whole, [names[i] for i in order], edges.tolist(), _words(steps), _words(counts[within]))
+            # Pre-tokens in order and differences of places make the table small.
+            yield row(batch["uid"].slice(0, 1), whole, names, edges.tolist(), _words(np.diff(codes, prepend=0)), _words(counts))
             # What a slice took goes back to the system: the worker shares an executor's memory with the JVM.
             pa.default_memory_pool().release_unused()
         # A row without documents: what was frequent in this task, and in how many of its documents at least.
@@ -218,7 +221,7 @@ def _rare(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common: dict[str, int] = shared.value
-        kinds = {"token": pa.string(), "home": pa.int64(), "slice": pa.int64(), "document": pa.int32(), "amount": pa.int64(), "documents": pa.binary()}
+        kinds = {"token": pa.string(), "slice": pa.int64(), "document": pa.int32(), "amount": pa.int64(), "documents": pa.binary()}
 
         def rows(n: int, **columns) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([columns[c].cast(k) if c in columns else pa.nulls(n, k) for c, k in kinds.items()], names=list(kinds))
@@ -237,7 +240,7 @@ def _rare(shared):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, counted.schema) as stream:
                     stream.write_batch(counted)
-                yield rows(1, home=batch["slice"], slice=batch["slice"], documents=pa.array([sink.getvalue().to_pybytes()]))
+                yield rows(1, slice=batch["slice"], documents=pa.array([sink.getvalue().to_pybytes()]))
                 other = np.flatnonzero(found == 0)
                 owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))[other]
                 number = pa.array(np.full(len(other), batch["slice"][0].as_py(), np.int64))
@@ -330,8 +333,8 @@ def count_tokens(
     known = most.mapInArrow(_pieces(path), "token string, pieces long").collect()
     shared = spark.sparkContext.broadcast({r["token"]: r["pieces"] for r in known})
     kind = "slice long, document int, amount long, documents binary"
-    pairs = held.where("slice is not null").mapInArrow(_rare(shared), f"token string, home long, {kind}")
-    met = pairs.repartition("token", "home").sortWithinPartitions("token").mapInArrow(_counted(path), kind)
+    pairs = held.where("slice is not null").mapInArrow(_rare(shared), f"token string, {kind}")
+    met = pairs.repartition(F.coalesce("token", F.col("slice").cast("string"))).sortWithinPartitions("token").mapInArrow(_counted(path), kind)
     back = met.repartition("slice").sortWithinPartitions("slice", F.col("document").asc_nulls_first())
     row = held.schema["documents"].dataType.elementType["row"].dataType.simpleString()
     return back.mapInArrow(_totals, f"row {row}, n_bytes long, n_tokens long")
