@@ -8,7 +8,8 @@
    1e-8), the rest is confirmed on the full sets from the texts.
 3. Components are taken, and buckets that still hold several components go on: the members outside their largest component
    are paired with all members of other components that can match: by a sketch of 2048 cells, and by the shingles that no
-   other open class has, which bound the similarity of a pair from above. That finds every link the stars left out.
+   other open class has, which bound the similarity of a pair from above. A pair is made once, in the first band it shares.
+   That finds every link the stars left out.
 4. Components are taken again over all confirmed links.
 
 Defined cases: null and empty texts, and texts of white space only, have an empty set and are linked with nothing; a null
@@ -234,6 +235,13 @@ def _may_match_finely(percent: int):
     return bound & (differing <= int(most) + 1)
 
 
+def _first_shared_band():
+    """Of the bands that two classes share, a pair is made in the first, and there once where both are outside the largest component."""
+    same = F.zip_with("bands", "bands_x", lambda p, q: p == q)
+    once = (F.col("component") == F.col("top")) | (F.col("class_x") < F.col("class"))
+    return once & (F.array_position(same, True) == F.col("band") + 1)
+
+
 def near_duplicates(docs: DataFrame, identity: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``id, n_shingles, component_id, kept``.
 
@@ -243,7 +251,7 @@ def near_duplicates(docs: DataFrame, identity: str = "doc_id", text: str = "text
     classes = store(
         signed.where("n > 0").groupBy("class").agg(*[F.min(c).alias(c) for c in ("text_key", "n", "sketch", "bands")]), "classes"
     )
-    keys = classes.select("class", F.explode("bands").alias("key"))
+    keys = classes.select("class", F.posexplode("bands").alias("band", "key"))
     ends = keys.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
     members = store(keys.join(ends, "key"), "members")
     wanted = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "text_key")
@@ -256,18 +264,18 @@ def near_duplicates(docs: DataFrame, identity: str = "doc_id", text: str = "text
     first = connected_components(links)
 
     # Buckets that still hold several components.
-    named = members.select("key", "class").join(first.withColumnRenamed("node", "class"), "class", "left")
+    named = members.select("key", "band", "class").join(first.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
     counts = named.groupBy("key", "component").agg(F.count("*").alias("members"))
     largest = counts.groupBy("key").agg(F.max(F.struct("members", "component")).alias("top"), F.count("*").alias("components"))
     open_ = store(
         named.join(largest.where("components > 1").select("key", F.col("top.component").alias("top")), "key"), "open"
     )
-    known = _open_facts(open_.select("class").distinct().join(texts, "class"), width)
-    open_ = open_.select("key", "class", "component", "top").join(known, "class")
-    few = open_.where("component <> top").select("key", *[F.col(c).alias(f"{c}_x") for c in ("class", "component", "n", "own", "fine")])
-    rest = few.join(open_, "key").where((F.col("component_x") != F.col("component")) & _may_match_finely(percent))
-    pairs = rest.select(F.least("class_x", "class").alias("a"), F.greatest("class_x", "class").alias("b")).distinct()
+    known = _open_facts(open_.select("class").distinct().join(texts, "class"), width).join(classes.select("class", "bands"), "class")
+    open_ = open_.select("key", "band", "class", "component", "top").join(known, "class")
+    few = open_.where("component <> top").select("key", *[F.col(c).alias(f"{c}_x") for c in ("class", "component", "n", "own", "fine", "bands")])
+    rest = few.join(open_, "key").where((F.col("component_x") != F.col("component")) & _may_match_finely(percent) & _first_shared_band())
+    pairs = rest.select(F.least("class_x", "class").alias("a"), F.greatest("class_x", "class").alias("b"))
     untried = pairs.join(paired, ["a", "b"], "left_anti")
     more = store(confirmed(untried, texts, width, percent), "confirmed")
     both = store(connected_components(links.unionByName(more)), "components")
