@@ -6,7 +6,7 @@ collections first, and equal strings always meet in one of them:
 
 1. A window of ``length`` bytes is anchored at the leftmost of the smallest hashes of its 64-byte strings. Windows with one anchor
    position form a piece (below 2 * length bytes). Equal windows have equal anchors, and anchors found once can't repeat.
-2. Equal pieces of one anchor are counted, not compared: all windows of a piece found twice repeat. One of each is kept.
+2. Pieces of anchors found once are left out. Equal pieces of one anchor are counted, not compared: all windows of a piece found twice repeat. One of each is kept.
 3. Where an anchor has several different pieces, they are cut into blocks of BLOCK windows that are aligned at the anchor.
    The ``length - BLOCK + 1`` bytes that all windows of a block share are its core; blocks meet only if their cores are
    equal, so the core enters the transform as one symbol. A block is thus a short string: left bytes, core, right bytes.
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.llm.minhash import mixed
-from clinloom.llm.shared import WORDS, store, text_key
+from clinloom.llm.shared import WORDS, Scratch, store, text_key
 
 BLOCK = 32
 CODE = 8
@@ -105,8 +105,8 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-PIECES = "text_key binary, first int, windows int, place int, anchor long, content binary"
-PIECES_ARROW = pa.schema([("text_key", pa.binary()), ("first", pa.int32()), ("windows", pa.int32()), ("place", pa.int32()), ("anchor", pa.int64()), ("content", pa.binary())])
+PIECES = "text_key binary, first int, windows int, place int, anchor long, content long"
+PIECES_ARROW = pa.schema([("text_key", pa.binary()), ("first", pa.int32()), ("windows", pa.int32()), ("place", pa.int32()), ("anchor", pa.int64()), ("content", pa.int64())])
 
 
 def _emit(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -121,8 +121,8 @@ def _cut_pieces(length: int):
             for key, text in zip(batch["text_key"], batch["text"]):
                 data, name = text.as_py().encode(), key.as_py()
                 for first, windows, place, anchor in pieces_of(data, length):
-                    content = hashlib.blake2b(data[first : first + windows + length - 1], digest_size=16).digest()
-                    rows.append((name, first, windows, place - first, _signed(anchor), content))
+                    digest = hashlib.blake2b(data[first : first + windows + length - 1], digest_size=8).digest()
+                    rows.append((name, first, windows, place - first, _signed(anchor), int.from_bytes(digest, "little", signed=True)))
                 if len(rows) > 20_000:
                     yield _emit(rows, PIECES_ARROW)
                     rows = []
@@ -314,12 +314,12 @@ def _compare(length: int):
     return run
 
 
-def _block_masks(blocks: DataFrame, length: int, most_blocks: int) -> DataFrame:
+def _block_masks(blocks: DataFrame, length: int, most_blocks: int, scratch: Scratch) -> DataFrame:
     """``piece, first, mask``: the repeated windows of each block; groups with too many different blocks are halved first."""
-    done, rest = None, store(blocks, "blocks")
+    done, rest = None, scratch.store(blocks, "blocks")
     while True:
-        strings = store(rest.groupBy("core", "span", "left", "right").agg(F.count("*").alias("blocks")), "strings")
-        groups = store(strings.groupBy("core", "span").agg(F.count("*").alias("different")).where("different > 1"), "groups")
+        strings = scratch.store(rest.groupBy("core", "span", "left", "right").agg(F.count("*").alias("blocks")), "strings")
+        groups = scratch.store(strings.groupBy("core", "span").agg(F.count("*").alias("different")).where("different > 1"), "groups")
         large = groups.where((F.col("different") > most_blocks) & (F.col("span") > 1)).select("core", "span")
         split = bool(large.head(1))
         # Shuffled by core, so that a group is in one task and sorted: it has at most ``most_blocks`` strings.
@@ -330,35 +330,45 @@ def _block_masks(blocks: DataFrame, length: int, most_blocks: int) -> DataFrame:
         alike = strings.where("blocks > 1").withColumn("windows", windows).select("core", "span", "left", "right", every)
         masks = alike.unionByName(compared)
         found = rest.join(masks, ["core", "span", "left", "right"]).select("piece", "first", "mask")
-        found = store(found, "masks")
+        found = scratch.store(found, "masks")
         done = found if done is None else done.unionByName(found)
         if not split:
             return done
-        rest = store(rest.join(large, ["core", "span"], "left_semi").select(*rest.columns).mapInArrow(_halve, BLOCKS), "blocks")
+        rest = scratch.store(rest.join(large, ["core", "span"], "left_semi").select(*rest.columns).mapInArrow(_halve, BLOCKS), "blocks")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400, most_blocks: int = MOST_BLOCKS) -> DataFrame:
-    """``text_key, runs``: for each text with repeated strings, runs of windows as ``first, mask or windows``."""
+    """``text_key, runs``: for each text with repeated strings, runs of windows as ``first, mask or windows``.
+
+    The runs are stored; what they were made from is deleted.
+    """
     if length <= BLOCK:
         raise ValueError(f"length must be above {BLOCK}")
+    scratch = Scratch(docs.sparkSession)
     keyed = docs.where(F.octet_length(F.col(text)) >= length).select(text_key(F.col(text)).alias("text_key"), F.col(text).alias("text"))
-    pieces = store(keyed.mapInArrow(_cut_pieces(length), PIECES), "pieces")
+    pieces = scratch.store(keyed.mapInArrow(_cut_pieces(length), PIECES), "pieces")
+    # Most anchors are found once: their pieces end here, after one aggregation of two numbers a piece.
+    anchors = pieces.groupBy("anchor").agg(F.count("*").alias("pieces"), F.min("content").alias("low"), F.max("content").alias("high"))
+    met = anchors.where("pieces > 1").select("anchor", (F.col("low") < F.col("high")).alias("several"))
+    found = scratch.store(pieces.join(met, "anchor"), "found")
     one = F.min(F.struct("text_key", "first", "windows", "place")).alias("one")
-    contents = store(pieces.groupBy("anchor", "content").agg(F.count("*").alias("found"), one), "contents")
-    anchors = contents.groupBy("anchor").agg(F.min("content").alias("low"), F.max("content").alias("high")).where("low < high")
-    several = contents.join(anchors.select("anchor"), "anchor", "left_semi").select("content", "one.*")
-    listed = several.groupBy("text_key").agg(F.collect_list(F.struct("content", "first", "windows", "place")).alias("pieces"))
+    counted = found.groupBy("anchor", "content").agg(F.count("*").alias("found"), F.first("several").alias("several"), one)
+    piece = F.unhex(F.format_string("%016x%016x", "anchor", "content")).alias("piece")
+    contents = scratch.store(counted.select("*", piece), "contents")
+    cut = F.struct(F.col("piece").alias("content"), "one.first", "one.windows", "one.place")
+    listed = contents.where("several").groupBy(F.col("one.text_key").alias("text_key")).agg(F.collect_list(cut).alias("pieces"))
     read = keyed.join(listed, "text_key").dropDuplicates(["text_key"]).select("text", "pieces")
-    masks = _block_masks(read.mapInArrow(_cut_blocks(length), BLOCKS), length, most_blocks)
+    masks = _block_masks(read.mapInArrow(_cut_blocks(length), BLOCKS), length, most_blocks, scratch)
     # A content found several times repeats as a whole; of one found once, the windows that the blocks show.
-    inside = masks.withColumnRenamed("first", "shift").withColumnRenamed("piece", "content")
-    once = contents.where("found = 1").select("content", "one.text_key", "one.first")
-    single = once.join(inside, "content").select("text_key", (F.col("first") + F.col("shift")).alias("first"), F.lit(0).alias("windows"), "mask")
-    whole = pieces.join(contents.where("found > 1").select("content").distinct(), "content", "left_semi").select(
-        "text_key", "first", "windows", F.lit(0).cast("long").alias("mask")
-    )
+    inside = masks.withColumnRenamed("first", "shift")
+    once = contents.where("found = 1").select("piece", "one.text_key", "one.first")
+    single = once.join(inside, "piece").select("text_key", (F.col("first") + F.col("shift")).alias("first"), F.lit(0).alias("windows"), "mask")
+    again = contents.where("found > 1").select("anchor", "content")
+    whole = found.join(again, ["anchor", "content"]).select("text_key", "first", "windows", F.lit(0).cast("long").alias("mask"))
     runs = whole.unionByName(single).distinct()
-    return runs.groupBy("text_key").agg(F.collect_list(F.struct("first", "windows", "mask")).alias("runs"))
+    stored = store(runs.groupBy("text_key").agg(F.collect_list(F.struct("first", "windows", "mask")).alias("runs")), "runs")
+    scratch.clear()
+    return stored
 
 
 def removed_bytes(size: int, runs: list[dict] | None, length: int) -> list[tuple[int, int]]:
