@@ -131,12 +131,11 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_remove_repeats")
 def op4_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the bytes of 400-byte strings that occur more than once."""
+    """All documents without the bytes of 400-byte strings that occur more than once; ``text`` is what stays of a text."""
     cleaned = repeats.without_repeats(table(spark, sf_dir, "documents"), length=400, carry=["doc_id"])
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
-    return cleaned.select(
-        "row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
-    )
+    spans = F.size("spans").cast("long").alias("n_spans")
+    return cleaned.select("row.doc_id", "n_bytes", removed.alias("n_removed"), spans, F.sha2("kept", 256).alias("kept_sha256"), F.col("clean").alias("text"))
 
 
 @query("op5_exact_top_k")
