@@ -129,6 +129,15 @@ def test_only_hot_keys_are_salted(spark, rows):
 # Keyed loading
 
 
+def test_a_table_of_many_short_keys_is_not_broadcast(spark, tmp_path):
+    # Some megabytes as a file, over a hundred as rows in the driver.
+    path = str(tmp_path / "keys")
+    spark.range(2_000_000).select(F.concat(F.lit("ADT"), "id").alias("k"), F.lit("text").alias("v")).coalesce(1).write.parquet(path)
+    assert sum(f.stat().st_size for f in (tmp_path / "keys").iterdir()) < 60 << 20
+    plan = spark.read.parquet(path).join(spark.read.parquet(path).select("k"), "k", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+
+
 def test_upsert_takes_the_latest_and_keeps_absent_rows(spark, rows):
     target = spark.createDataFrame([(1, "old", 1), (2, "stays", 1)], "id int, v string, at int")
     batch = spark.createDataFrame([(1, "newer", 3), (1, "new", 2), (3, "added", 2), (3, "added", 2)], "id int, v string, at int")
