@@ -150,6 +150,22 @@ def test_written_frames_read_back(spark, tmp_path):
     assert sorted(r.message for r in read_messages(spark, path).collect()) == sorted(sent)
 
 
+def test_whole_messages_are_not_shuffled(spark, tmp_path):
+    write_messages(spark.range(9000).select(F.concat(F.lit("MSH|"), "id").alias("message")), str(tmp_path / "in"))
+    plan = read_messages(spark, str(tmp_path / "in"))._jdf.queryExecution().executedPlan().toString()
+    plain = plan[: plan.index("BroadcastExchange")]
+    assert "LeftAnti" in plain and "BroadcastHashJoin" in plain and "Exchange hashpartitioning" not in plain
+
+
+def test_landing_files_are_compressed_and_fit_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("clinloom.sources.mllp.FILE_MESSAGES", 100)
+    path = str(tmp_path / "out")
+    write_messages(spark.range(1000).coalesce(1).select(F.concat(F.lit("MSH|"), F.repeat(F.lit("x"), 1000), "id").alias("message")), path)
+    files = [os.path.join(path, f) for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 10 and sum(map(os.path.getsize, files)) < 100_000
+    assert read_messages(spark, path).count() == 1000
+
+
 def test_header_fields_default_to_empty(spark):
     texts = [message("ADT^A01", PID), "MSH|a", "PID|1", " MSH|^~\\&|||||||ADT^A01|X", "x\rMSH|^~\\&|||||||ADT^A01|X", ""]
     got = [(r.control_id, r.message_type) for r in frame(spark, *texts).collect()]

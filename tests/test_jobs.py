@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from clinloom.operators.store import TableStore
 from clinloom.plans import jobs
 from clinloom.sources.mllp import write_messages
 from clinloom.streaming.hl7_feed import current_tables, message_log, start_feed
+from clinloom.streaming.hl7_tables import start_tables
 from testbed.bed import Bed
 from testbed.queries import write_sources
 
@@ -48,6 +50,15 @@ def test_feed_takes_new_files_only_and_redelivery_replaces(spark, tmp_path):
     assert message_log(spark, log).where("route = 'unknown'").count() == 1
 
 
+def test_nothing_is_kept_twice_once_a_batch_has_landed(spark, tmp_path):
+    landing, log, state = (str(tmp_path / part) for part in ("landing", "log", "state"))
+    send(spark, landing, adt("1"), adt("2", kind="ADT^A03"))
+    start_feed(spark, landing, log, state).awaitTermination()
+    start_tables(spark, log, f"{state}-tables", TableStore(spark, str(tmp_path / "warehouse")), dt.datetime(2026, 1, 1)).awaitTermination()
+    assert message_log(spark, log).count() == 2
+    assert not any(files for part in ("state/pieces", "state-tables/batch", "state-tables/rows") for _, _, files in os.walk(tmp_path / part))
+
+
 def test_a_new_checkpoint_neither_replaces_nor_hides_messages(spark, tmp_path):
     landing, log = f"{tmp_path}/landing", f"{tmp_path}/log"
 
