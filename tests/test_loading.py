@@ -111,6 +111,22 @@ def test_whole_rows_are_not_sorted_to_be_aggregated(spark):
     assert sorted(tuple(r) for r in newest(many, ["k"], ["at"]).collect()) == [(0, 998, "text"), (1, 999, "text")]
 
 
+@pytest.mark.parametrize("copies, shuffles", [(1, 1), (9000, 2)])
+def test_a_first_load_is_shuffled_once_unless_a_key_is_hot(spark, table, monkeypatch, copies, shuffles):
+    plans, write = [], BucketedTable._write
+
+    def seen(self, rows, place):
+        plans.append(rows.repartition("bucket")._jdf.queryExecution().executedPlan().toString())
+        write(self, rows, place)
+
+    monkeypatch.setattr(BucketedTable, "_write", seen)
+    hot = spark.range(copies).select(F.lit(1).alias("a"), F.lit("hot").alias("b"), F.lit("v").alias("v"), F.col("id").cast("int").alias("at"))
+    others = spark.range(4000).select(F.col("id").cast("int").alias("a"), F.lit("b").alias("b"), F.lit("v").alias("v"), F.lit(1).alias("at"))
+    table.upsert(hot.union(others), ["at"])
+    assert plans[0].count("Exchange") == shuffles
+    assert table.read().count() == 4001 and table.read().where("b = 'hot'").first().at == copies - 1
+
+
 # HL7 messages into tables
 
 
