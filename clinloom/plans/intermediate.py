@@ -64,13 +64,16 @@ def _with_review_measures(rows: DataFrame, as_of: dt.date | str) -> DataFrame:
 def int_case_review_status(
     cases: DataFrame, reviews: DataFrame, providers: DataFrame, as_of: dt.date | str
 ) -> DataFrame:
-    """One row for each case and review; a case without review has one row."""
-    assigned = providers.select("provider_id", "supervising_physician_id", "provider_type", "state_id")
-    reviewed = left_join_many(_case_columns(cases), _review_columns(reviews), ["case_id"])
-    rows = reviewed.join(assigned, "provider_id", "left").select(
+    """One row for each case and review; a case without review has one row.
+
+    The provider is looked up for the cases, before their reviews multiply them.
+    """
+    own, found = _case_columns(cases), _review_columns(reviews)
+    assigned = own.join(providers.select("provider_id", "supervising_physician_id", "provider_type", "state_id"), "provider_id", "left")
+    rows = left_join_many(assigned, found, ["case_id"]).select(
         "case_id",
         "provider_id",
-        *[c for c in reviewed.columns if c not in ("case_id", "provider_id")],
+        *[c for c in (*own.columns, *found.columns) if c not in ("case_id", "provider_id")],
         "supervising_physician_id",
         "provider_type",
         "state_id",

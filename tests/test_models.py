@@ -51,6 +51,16 @@ def test_case_without_review_stays_once(spark):
     assert [(r.case_id, r.review_id, r.is_overdue, r.provider_type) for r in rows] == [("c1", None, False, "NP")]
 
 
+def test_reviews_are_shuffled_for_their_case_alone(spark):
+    cases, reviews, providers = case_frames(spark, [("r1", "c1", UUID(1), D(2024, 1, 2), "pending", D(2024, 1, 3), None)])
+    rows = intermediate.int_case_review_status(cases, reviews, providers, D(2024, 6, 30))
+    assert [(r.review_id, r.provider_type) for r in rows.collect()] == [("r1", "NP")]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # The outermost join is the one with the reviews.
+    outer = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert "case_id" in outer and "provider_id" not in outer
+
+
 def test_daily_metrics_double_count_and_drop_outsiders(spark):
     day = D(2024, 1, 10)
     reviews = [
