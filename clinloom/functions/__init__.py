@@ -1,6 +1,6 @@
 """Column expressions shared by all models; every one is a built-in composition."""
 
-from clinloom.functions.casts import as_text, as_uuid, hl7_timestamp, iso_timestamp, literal_date, null_date
+from clinloom.functions.casts import as_text, as_uuid, hl7_timestamp, iso_timestamp, literal_date, null_date, packed_id, unpacked_id
 from clinloom.functions.measures import avg_exact, hours_between, labelled, rate_pct, rounded, whole_days
 from clinloom.functions.nested import element, json_text, parsed
 
@@ -16,8 +16,10 @@ __all__ = [
     "labelled",
     "literal_date",
     "null_date",
+    "packed_id",
     "parsed",
     "rate_pct",
     "rounded",
+    "unpacked_id",
     "whole_days",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clinloom.functions import as_uuid, labelled, null_date, rate_pct, rounded
+from clinloom.functions import as_uuid, labelled, null_date, packed_id, rate_pct, rounded
 from clinloom.operators.surrogate import surrogate_key
 from clinloom.plans.intermediate import (
     VISIT_DAY,
@@ -145,8 +145,9 @@ def fact_provider_case_load(
     The physician key is looked up for the supervisors, before the days are filled in, so the dense rows meet no join.
     """
     keys = physicians.select(F.col("physician_id").alias("_uuid"), "physician_key")
-    entities = supervisors(providers).withColumn("_uuid", as_uuid("physician_id")).join(keys, "_uuid").drop("_uuid")
-    rows = dense_daily(entities, daily_reviews(cases, reviews, as_of), "physician_id", start_date, as_of)
+    known = supervisors(providers).withColumn("_uuid", as_uuid("physician_id")).join(keys, "_uuid")
+    entities = known.withColumn("physician", packed_id("physician_id")).drop("_uuid", "physician_id")
+    rows = dense_daily(entities, daily_reviews(cases, reviews, as_of), "physician", start_date, as_of)
     reviewed, pending, overdue = (F.col(c) for c in ("cases_reviewed", "cases_pending_review", "cases_overdue"))
     total = reviewed + pending + overdue
     return rows.select(

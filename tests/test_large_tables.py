@@ -1,8 +1,36 @@
 """What keeps the models small on large tables: packed ids, cheap times, partitions that a task can hold."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from clinloom.functions import hl7_timestamp
+from clinloom.functions import hl7_timestamp, packed_id, unpacked_id
+from clinloom.plans import intermediate
+
+UUID = "0123abcd-0123-4567-89ab-0123456789a{}".format
+TEXTS = [UUID("b"), UUID("B"), UUID("b").upper(), UUID("b") + "\n", "{" + UUID("b") + "}", UUID("b").replace("-", ""), "", "c1", "\0" * 17, "x" * 16, "Zoë", None]
+
+
+def test_ids_come_back_from_their_packed_form(spark):
+    texts = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    got = texts.select("t", packed_id("t").alias("p")).select("t", "p", unpacked_id("p").alias("back")).collect()
+    assert [r.back for r in got] == TEXTS
+    assert len({bytes(r.p) for r in got if r.p is not None}) == len(TEXTS) - 1
+    assert [len(r.p) for r in got if r.t == UUID("b")] == [16]
+
+
+def test_reviews_are_joined_and_grouped_by_packed_ids(spark):
+    cases = spark.createDataFrame([(UUID(1), dt.datetime(2024, 1, 1)), ("c2", dt.datetime(2024, 1, 1)), ("c2", dt.datetime(2024, 1, 2)), (None, None)], "case_id string, created_at timestamp_ntz")
+    day = dt.date(2024, 1, 3)
+    reviews = spark.createDataFrame(
+        [("r1", UUID(1), UUID("c"), day, "overdue", day, None), ("r2", "c2", "doc", day, "overdue", day, None), ("r3", "lost", "doc", day, "overdue", day, None), ("r4", None, None, day, "overdue", day, None), ("r5", UUID(1), None, day, "overdue", day, None)],
+        "review_id string, case_id string, physician_id string, review_date date, review_status string, due_date date, completed_at timestamp_ntz",
+    )
+    providers = spark.createDataFrame([("p1", UUID("c")), ("p2", "doc")], "provider_id string, supervising_physician_id string")
+    daily = intermediate.daily_reviews(cases, reviews, "2024-01-05")
+    assert dict(daily.dtypes)["physician"] == "binary"
+    found = intermediate.int_physician_daily_metrics(cases, reviews, providers, "2024-01-02", "2024-01-04").where("cases_overdue > 0")
+    assert sorted((r.physician_id, r.date_key, r.cases_overdue) for r in found.collect()) == [(UUID("c"), day, 1), ("doc", day, 2)]
 
 
 def test_a_time_takes_one_pattern(spark):
