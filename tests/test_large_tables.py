@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from clinloom.functions import hl7_timestamp, packed_id, unpacked_id
@@ -62,3 +63,10 @@ def test_rows_are_looked_up_by_packed_references(spark, rows):
 def test_a_time_takes_one_pattern(spark):
     plan = spark.range(1).select(F.col("id").cast("string").alias("t")).select(hl7_timestamp("t"))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan
+
+
+@pytest.mark.parametrize("size", ["advisoryPartitionSizeInBytes", "skewJoin.skewedPartitionThresholdInBytes"])
+def test_a_task_reads_some_megabytes_of_a_shuffle(spark, size):
+    from clinloom.session import tune
+
+    assert int(tune(spark).conf.get(f"spark.sql.adaptive.{size}")) <= 16 << 20
