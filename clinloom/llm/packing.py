@@ -41,59 +41,106 @@ from clinloom.llm.shared import store
 CAPACITY = 2048
 GROUPS = 4096
 SMALL = 16
-# Some 200 bytes each, once per Python worker.
-CACHED_WORDS = 1_000_000
+# Some 30 bytes each, once per Python worker.
+CACHED_WORDS = 500_000
 LONGEST_CACHED = 64
+# Words of one text that is tokenised for them all.
+JOINED = 8192
 # Bytes of text tokenised at once (a single text may be longer).
 SLICE_BYTES = 4 << 20
 # White space before a space: there a text can't be cut into words that are tokenised alone.
 _RUN = r"[\pZ\x09-\x0D\x1C-\x1F\x{85}] "
 
 
+_SPACED = r"(?:^|[\pZ\x09-\x0D\x1C-\x1F\x{85}])$"
+
+
 class Tokens:
     """Token ids of texts by a byte-level BPE file.
 
     The vocabulary's pattern starts a new unit at every space that follows another character than white space, so such
-    texts are cut there and each distinct word is tokenised once; texts with other runs are tokenised whole.
+    texts are cut there and each distinct word is tokenised once; texts with other runs are tokenised whole. New words are
+    tokenised as one text, a space before each: the ids of a word begin where a token begins with that space.
     """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode_cached(self, words: list[str]) -> list[bytes]:
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
-        missing = [w for w in words if w not in self.words]
-        fresh = dict(zip(missing, self.encode(missing)))
-        self.words.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_CACHED)
-        return [fresh[w] if w in fresh else self.words[w] for w in words]
+        self.plain = self.model.normalizer is None and isinstance(self.model.pre_tokenizer, pre_tokenizers.ByteLevel)
+        vocabulary = self.model.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[number for token, number in vocabulary.items() if token.startswith("\u0120")]] = True
+        # Words met before, how many ids each has after a space, and these ids one after the other.
+        self.words, self.sizes, self.ids = pa.array([], pa.string()), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each text has, and all ids one after the other."""
+        found = [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([len(f) for f in found], np.int64), np.concatenate([np.empty(0, np.uint32), *found])
+
+    def encode_joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Like ``encode`` of the words after a space each; none of them is empty or ends in white space."""
+        edges = [*range(0, len(words), JOINED), len(words)]
+        sizes, ids = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+        for text, (start, stop) in zip(pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), words), " "), itertools.pairwise(edges)):
+            _, found = self.encode([f" {text}"])
+            begins = np.flatnonzero(self.opens[found])
+            if len(begins) == stop - start and begins[0] == 0:
+                counts = np.diff(begins, append=len(found))
+            else:
+                counts, found = self.encode([f" {w}" for w in words[start:stop].to_pylist()])
+            sizes.append(counts)
+            ids.append(found)
+        return np.concatenate(sizes), np.concatenate(ids)
+
+    def places(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each word stands in a table of words after a space, and the table's sizes and ids."""
+        words = words.cast(pa.string())
+        at = pc.index_in(words, self.words)
+        missing = np.flatnonzero(pc.is_null(at).to_numpy(zero_copy_only=False))
+        places = pc.fill_null(at, 0).to_numpy().astype(np.int64)
+        alone = pc.match_substring_regex(words.take(pa.array(missing)), _SPACED).to_numpy(zero_copy_only=False) | (not self.plain)
+        missing = np.concatenate((missing[~alone], missing[alone]))
+        together = len(missing) - np.count_nonzero(alone)
+        places[missing] = len(self.words) + np.arange(len(missing))
+        fresh = words.take(pa.array(missing))
+        parts = (self.sizes, self.ids), self.encode_joined(fresh[:together]), self.encode([f" {w}" for w in fresh[together:].to_pylist()])
+        sizes, ids = (np.concatenate(column) for column in zip(*parts))
+        self._keep(pa.concat_arrays([self.words, fresh]), sizes, ids, places)
+        return places, sizes, ids
+
+    def _keep(self, words: pa.Array, sizes: np.ndarray, ids: np.ndarray, used: np.ndarray) -> None:
+        """Short words stay for later slices: all, or those of the last slice once they are too many."""
+        short = pc.less_equal(pc.utf8_length(words), LONGEST_CACHED).to_numpy(zero_copy_only=False)
+        if len(words) > CACHED_WORDS:
+            last = np.zeros(len(words), bool)
+            last[used] = True
+            short &= last
+        self.words, self.sizes, self.ids = words.filter(pa.array(short)), sizes[short], ids[np.repeat(short, sizes)]
 
     def of(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        """The ids of each text as little-endian unsigned 32-bit integers; none for null."""
+        """The ids of each text as unsigned 32-bit integers; none for null."""
         texts = pc.fill_null(texts, "")
         runs = pc.match_substring_regex(texts, _RUN)
         split = pc.split_pattern(pc.if_else(runs, "", texts), " ")
         coded = pc.list_flatten(split).dictionary_encode()
-        names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        codes = coded.indices.to_numpy()
         edges = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))
+        places, sizes, ids = self.places(coded.dictionary)
         # A text's first word has no space before it, so it is an entry of its own.
         firsts, which = np.unique(codes[edges[:-1]], return_inverse=True)
-        codes[edges[:-1]] = len(names) + which
-        entries = self.encode_cached([" " + w for w in names] + [names[f] for f in firsts])
-        sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
-        ids, starts = np.frombuffer(b"".join(entries), "<u4"), np.cumsum(sizes) - sizes
+        first_sizes, first_ids = self.encode(coded.dictionary.take(pa.array(firsts)).to_pylist())
+        codes = places[codes]
+        codes[edges[:-1]] = len(sizes) + which
+        sizes, ids = np.concatenate((sizes, first_sizes)), np.concatenate((ids, first_ids))
+        starts = np.cumsum(sizes) - sizes
         counts = sizes[codes]
         ends = np.concatenate(([0], np.cumsum(counts)))
         flat = ids[np.repeat(starts[codes] - ends[:-1], counts) + np.arange(ends[-1])]
         for i, whole in enumerate(runs.to_pylist()):
-            yield np.frombuffer(self.encode([texts[i].as_py()])[0], "<u4") if whole else flat[ends[edges[i]] : ends[edges[i + 1]]]
+            yield self.encode([texts[i].as_py()])[1] if whole else flat[ends[edges[i]] : ends[edges[i + 1]]]
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -132,7 +179,7 @@ def _cut(path: str, capacity: int, end_token: int, with_ids: bool):
         for batch in itertools.chain.from_iterable(map(slices, batches)):
             at, columns = [], [[] for _ in range(4 + with_ids)]
             for i, found in enumerate(tokens.of(batch["text"])):
-                ids = found.tobytes() + end
+                ids = found.astype("<u4", copy=False).tobytes() + end
                 n = len(ids) // 4
                 edges = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for piece, (start, stop) in enumerate(itertools.pairwise(edges)):
