@@ -17,6 +17,7 @@ go to the smaller name; repeated rows are predicted alike. Columns are carried i
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import defaultdict
@@ -29,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinloom.llm.packing import slices
 from clinloom.llm.shared import store
 
 SAMPLE = 2000
@@ -76,10 +78,10 @@ def _words(text: pa.Array) -> pa.ListArray:
 
 
 def _count(longest: int):
-    """Words of each batch and their n-grams with counts: ``lang, n, item, found``; n is 0 for words."""
+    """Words of each slice and their n-grams with counts: ``lang, n, item, found``; n is 0 for words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in itertools.chain.from_iterable(map(slices, batches)):
             split = _words(batch["text"])
             langs = pc.take(batch["lang"], pc.list_parent_indices(split))
             table = pa.table({"lang": langs, "item": pc.list_flatten(split)}).group_by(["lang", "item"]).aggregate([([], "count_all")])
@@ -136,13 +138,19 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: in
     return Model(languages, np.array([documents[x] / every for x in languages]), tables[0], tables[1:])
 
 
-def _predict(shared):
+def _predict(shared, inside: str | None):
+    """``inside`` names the field of ``row`` that is the text; none if it is a column beside it."""
+
+    def texts(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch if inside is None else pa.RecordBatch.from_arrays([batch["row"], batch["row"].field(inside)], names=["row", "text"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         cache: dict[str, int] = {}
         # Scores of the words met so far, and as a last column whether the model knows something of them.
         known = np.zeros((1024, len(model.languages) + 1))
-        for batch in batches:
+        # Some megabytes of text at a time: what is made of a slice is many times as large as its text.
+        for batch in itertools.chain.from_iterable(slices(texts(b)) for b in batches):
             split = _words(batch["text"])
             items = pc.list_flatten(split)
             coded = items.dictionary_encode()
@@ -178,16 +186,20 @@ def _predict(shared):
                 lang, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             columns = [batch["row"], pa.array(lang, pa.string()), pa.array(score), pa.array(evidence)]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "lang_pred", "score", "evidence"])
+            pa.default_memory_pool().release_unused()
 
     return run
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``row`` (the columns of ``carry``, or all), ``lang_pred, score, evidence`` of every text."""
-    read = docs.select(F.struct(*map(F.col, docs.columns if carry is None else carry)).alias("row"), F.col(text).alias("text"))
+    columns = docs.columns if carry is None else carry
+    # A text that is carried is sent once.
+    beside = [] if text in columns else [F.col(text).alias("text")]
+    read = docs.select(F.struct(*map(F.col, columns)).alias("row"), *beside)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = read.schema["row"].dataType.simpleString()
-    return read.mapInArrow(_predict(shared), f"row {kind}, lang_pred string, score double, evidence double")
+    return read.mapInArrow(_predict(shared, None if beside else text), f"row {kind}, lang_pred string, score double, evidence double")
 
 
 def held_out(identity: str = "doc_id"):

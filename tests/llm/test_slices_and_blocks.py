@@ -1,10 +1,13 @@
-"""Words tokenised together."""
+"""Words tokenised together and texts scored a slice at a time."""
 
 import random
+from types import SimpleNamespace
 
+import numpy as np
 import pyarrow as pa
+import pytest
 
-from clinloom.llm import packing
+from clinloom.llm import langid, packing
 
 
 def word(rng):
@@ -38,3 +41,16 @@ def test_words_are_tokenised_alone_where_tokens_do_not_open_with_a_space():
     own = packing.Tokens(packing.default_vocabulary())
     own.opens[:] = False
     assert [ids.tolist() for ids in own.of(pa.array(["one two two three"]))] == [own.model.encode("one two two three").ids]
+
+
+@pytest.mark.parametrize("inside", [None, "body"])
+def test_texts_are_scored_a_slice_at_a_time(inside):
+    words = langid.Table({"the": 0, "der": 1}, np.array([[0.0, -3.0], [-3.0, 0.0]]))
+    shared = SimpleNamespace(value=langid.Model(["de", "en"], np.array([0.5, 0.5]), words, []))
+    texts = pa.array(["the " * 400_000, "der " * 400_000, None, "the the der"] * 4)
+    row = pa.StructArray.from_arrays([pa.array(range(16)), texts], names=["id", "body"])
+    columns = {"row": row} | ({} if inside else {"text": texts})
+    out = list(langid._predict(shared, *([inside] if inside else [None]))(iter([pa.RecordBatch.from_pydict(columns)])))
+    assert len(out) >= 4 and [i for b in out for i in b["row"].field("id").to_pylist()] == list(range(16))
+    assert [x for b in out for x in b["lang_pred"].to_pylist()] == ["de", "en", "und", "de"] * 4
+    assert max(packing.pc.sum(packing.pc.binary_length(b["row"].field("body"))).as_py() for b in out) <= packing.SLICE_BYTES
