@@ -1,12 +1,14 @@
 """Token-ID output in training order: a keyed permutation gives every sequence a slot, shards hold slots at a fixed stride.
 
 Documents are tokenised, closed with an end token and cut into sequences of ``length`` tokens; the last one of a document is
-padded. They are written once; the N stored sequences are numbered from 0 without gaps by their place in that table, so no
-sort is needed: the rows of the partitions before, and the row's number in its own. A Feistel network over the next even
-number of bits, walked until it lands below N, maps numbers to slots one to one, under a key. Rows are dealt by range of
-slot, in the one shuffle of the whole: partition s gets the slots from ``s * per_shard`` and writes them as shard s at
-``stride = 2 * length`` bytes each, as little-endian unsigned 16-bit ids, so slot k is read at ``(k % per_shard) * stride`` of
-file ``k // per_shard``. The index is written by the same tasks.
+padded. They are written once, in compressed blocks of some hundred sequences; the N stored sequences are numbered from 0
+without gaps by their place in that table, so no sort is needed: the sequences of the partitions before, and the sequence's
+number in its own. A Feistel network over the next even number of bits, walked until it lands below N, maps numbers to slots
+one to one, under a key. Sequences are dealt by range of slot, in the one shuffle of the whole: a task sends what it has for a
+shard as compressed blocks, since ids compress by a half together and by a fifth alone. Partition s gets the slots from
+``s * per_shard`` and writes them as shard s at ``stride = 2 * length`` bytes each, as little-endian unsigned 16-bit ids, so
+slot k is read at ``(k % per_shard) * stride`` of file ``k // per_shard``. A shard is put together in memory. The index is
+written by the same tasks.
 
 A shard is written to a name of its own and moved into place; its bytes follow from the data and the key alone, so a task
 that runs again writes the same file. The order follows from the key and from how the table was read: another layout of its
@@ -24,13 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clinloom.llm.packing import default_vocabulary, slices, tokens_of
-from clinloom.llm.shared import store
+from clinloom.llm.shared import Scratch, store
 
 LENGTH = 256
 PER_SHARD = 16_384
@@ -39,8 +42,9 @@ ROUNDS = 6
 # Steps of a walk that every row makes in the plan, and the most that a row which is not home then makes in a loop.
 STEPS = 3
 WALK = 320
-# ``monotonically_increasing_id`` holds the partition above these bits and the row's number in it below them.
-ROW_BITS = 33
+# Tokens that are compressed together, and tokens that a task holds while it deals them to shards.
+BLOCK = 524_288
+HELD = 16_000_000
 
 
 def feistel(number: Column, bits: int, key: int) -> Column:
@@ -69,64 +73,163 @@ def permuted(numbers: DataFrame, column: str, count: int, key: int) -> DataFrame
     return walked.withColumn("slot", F.when(F.col("slot") < count, F.col("slot")).otherwise(loop))
 
 
+BLOCKS = "first long, n int, doc_id array<long>, part array<int>, tokens array<int>, ids binary"
+DEALT = "shard int, n int, listed binary, ids binary"
+# What a block of one shard lists of each sequence; kept as bytes of equal weight side by side, which compress best.
+LISTED = (("slot", "<i8"), ("doc_id", "<i8"), ("known", "u1"), ("part", "<i4"), ("tokens", "<i4"))
+
+
+def _squeezer() -> zstandard.ZstdCompressor:
+    """Ids of two bytes repeat in short runs: matches of three bytes count, at the effort of level 5."""
+    return zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(5, source_size=2 * BLOCK, min_match=3))
+
+
+def _listed(rows: pa.Table) -> bytes:
+    """Sequences as bytes: slots and ids as differences from the row before."""
+    columns = {
+        "slot": np.diff(rows["slot"].to_numpy(), prepend=0),
+        "doc_id": np.diff(pc.fill_null(rows["doc_id"], 0).to_numpy(), prepend=0),
+        "known": pc.is_valid(rows["doc_id"]).to_numpy(),
+        "part": rows["part"].to_numpy(),
+        "tokens": rows["tokens"].to_numpy(),
+    }
+    return b"".join(columns[c].astype(kind).reshape(-1, 1).view(np.uint8).T.tobytes() for c, kind in LISTED)
+
+
+def _sequences_of(data: bytes, n: int) -> pa.RecordBatch:
+    """``slot, doc_id, part, tokens`` of ``n`` listed sequences."""
+    columns, at = {}, 0
+    for c, kind in LISTED:
+        width = np.dtype(kind).itemsize
+        columns[c] = np.ascontiguousarray(np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T).view(kind).ravel()
+        at += n * width
+    arrays = [pa.array(np.cumsum(columns["slot"])), pa.array(np.cumsum(columns["doc_id"]), mask=columns["known"] == 0), pa.array(columns["part"]), pa.array(columns["tokens"])]
+    return pa.RecordBatch.from_arrays(arrays, names=["slot", "doc_id", "part", "tokens"])
+
+
+def _lists(edges: list[int], values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)
+
+
 def _sequences(path: str, length: int, end_token: int):
+    """Texts -> blocks of whole sequences; ``first`` counts the sequences before a block in its partition."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, squeeze = tokens_of(path), zstandard.ZstdCompressor(level=3)
+        tokens, squeeze, first = tokens_of(path), _squeezer(), 0
         for batch in itertools.chain.from_iterable(map(slices, batches)):
-            rows, at = [], []
-            for i, found in enumerate(tokens.of(batch["text"])):
-                ids = np.append(found, np.uint32(end_token))
-                if ids.max() > 0xFFFF:
-                    raise ValueError("token ids of more than 16 bits")
-                for part in range(-(-len(ids) // length)):
-                    piece = ids[part * length : (part + 1) * length].astype("<u2")
-                    at.append(i)
-                    rows.append((part, len(piece), squeeze.compress(piece.tobytes())))
-            columns = list(zip(*rows)) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary())))],
-                names=["doc_id", "part", "tokens", "ids"],
+            found = [np.append(ids, np.uint32(end_token)) for ids in tokens.of(batch["text"])]
+            flat = np.concatenate(found)
+            if flat.max() > 0xFFFF:
+                raise ValueError("token ids of more than 16 bits")
+            flat, sizes = flat.astype("<u2"), np.fromiter(map(len, found), np.int64, len(found))
+            counts = -(-sizes // length)
+            at = np.repeat(np.arange(len(found)), counts)
+            part = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+            taken = np.minimum(length, sizes[at] - part * length)
+            edges = [*range(0, len(at), max(1, BLOCK // length)), len(at)]
+            ends = np.concatenate(([0], np.cumsum(taken)))
+            columns = [
+                pa.array([first + e for e in edges[:-1]], pa.int64()),
+                pa.array(np.diff(edges), pa.int32()),
+                _lists(edges, batch["doc_id"].take(pa.array(at))),
+                _lists(edges, pa.array(part, pa.int32())),
+                _lists(edges, pa.array(taken, pa.int32())),
+                pa.array([squeeze.compress(flat[ends[a] : ends[b]].tobytes()) for a, b in itertools.pairwise(edges)], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["first", "n", "doc_id", "part", "tokens", "ids"])
+            first += len(at)
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def _deal(per_shard: int, held_tokens: int):
+    """Sequences with their slots, in order, the ids of a block at its first one -> blocks of sequences of one shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze, expand = _squeezer(), zstandard.ZstdDecompressor()
+
+        def flush(rows: list[pa.RecordBatch], ids: list[np.ndarray]) -> pa.RecordBatch:
+            table, flat = pa.Table.from_batches(rows).combine_chunks(), np.concatenate(ids)
+            taken, shards = table["tokens"].to_numpy(), table["slot"].to_numpy() // per_shard
+            ends = np.cumsum(taken, dtype=np.int64)
+            order = np.argsort(shards, kind="stable")
+            edges = [0, *(np.flatnonzero(np.diff(shards[order])) + 1).tolist(), len(order)]
+            pieces = [flat[a:b] for a, b in zip((ends - taken)[order].tolist(), ends[order].tolist())]
+            dealt, runs = table.take(pa.array(order)).combine_chunks(), list(itertools.pairwise(edges))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shards[order][edges[:-1]], pa.int32()),
+                    pa.array(np.diff(edges), pa.int32()),
+                    pa.array([squeeze.compress(_listed(dealt.slice(a, b - a))) for a, b in runs], pa.binary()),
+                    pa.array([squeeze.compress(np.concatenate(pieces[a:b]).tobytes()) for a, b in runs], pa.binary()),
+                ],
+                names=["shard", "n", "listed", "ids"],
             )
 
+        rows, ids, held, left = [], [], 0, np.empty(0, "<u2")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = np.concatenate([left, *(np.frombuffer(expand.decompress(block), "<u2") for block in batch["ids"].drop_null().to_pylist())])
+            need = int(batch["tokens"].to_numpy().sum())
+            if need > len(flat):
+                raise ValueError("a sequence came before its block")
+            rows.append(batch.select(["slot", "doc_id", "part", "tokens"]))
+            ids.append(flat[:need])
+            held, left = held + need, flat[need:]
+            if held >= held_tokens:
+                yield flush(rows, ids)
+                rows, ids, held = [], [], 0
+        if len(left):
+            raise ValueError("a block has more tokens than its sequences")
+        if rows:
+            yield flush(rows, ids)
+
     return run
 
 
 def _write(folder: str, length: int, per_shard: int):
-    """Rows sorted by slot, whole shards -> one file per shard; the rows' index, and ``first_slot, sequences, crc32`` of each shard."""
+    """Blocks sorted by shard, whole shards -> one file per shard; the rows' index, and ``first_slot, sequences, crc32`` of each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pa.fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pa.fs.LocalFileSystem(), folder)
-        open_, expand = None, zstandard.ZstdDecompressor()
+        expand = zstandard.ZstdDecompressor()
         kinds = {"shard": pa.int64(), "slot": pa.int64(), "doc_id": pa.int64(), "part": pa.int32(), "tokens": pa.int32(), "first_slot": pa.int64(), "sequences": pa.int64(), "crc32": pa.int64()}
 
         def rows(n: int, **columns) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.nulls(n, k) if c not in columns else v if isinstance(v := columns[c], pa.Array) else pa.array(v, k) for c, k in kinds.items()], names=list(kinds))
 
-        def close():
-            shard, name, stream, n, crc = open_
-            stream.close()
+        def close(shard: int, blocks: list[tuple]) -> Iterator[pa.RecordBatch]:
+            index = pa.Table.from_batches([listed for listed, _ in blocks]).sort_by("slot").combine_chunks()
+            n, first = index.num_rows, shard * per_shard
+            if not np.array_equal(index["slot"].to_numpy(), first + np.arange(n)):
+                raise ValueError(f"the slots of shard {shard} don't follow each other")
+            records = np.full((n, length), PAD, "<u2")
+            for listed, packed in blocks:
+                record = np.full((listed.num_rows, length), PAD, "<u2")
+                record[np.arange(length) < listed["tokens"].to_numpy()[:, None]] = np.frombuffer(expand.decompress(packed), "<u2")
+                records[listed["slot"].to_numpy() - first] = record
+            data = records.tobytes()
+            files.create_dir(root, recursive=True)
+            name = f"{root}/.{shard:08d}-{uuid.uuid4().hex}"
+            with files.open_output_stream(name) as stream:
+                stream.write(data)
             files.move(name, f"{root}/{shard:08d}.bin")
-            return rows(1, shard=[shard], first_slot=[shard * per_shard], sequences=[n], crc32=[crc])
+            for part in index.to_batches():
+                yield rows(part.num_rows, **{c: part[c] for c in ("slot", "doc_id", "part", "tokens")})
+            yield rows(1, shard=[shard], first_slot=[first], sequences=[n], crc32=[zlib.crc32(data)])
 
+        open_, blocks = None, []
         for batch in batches:
-            for slot, packed in zip(batch["slot"].to_pylist(), batch["ids"].to_pylist()):
-                shard = slot // per_shard
-                if open_ is None or open_[0] != shard:
-                    if open_ is not None:
-                        yield close()
-                    files.create_dir(root, recursive=True)
-                    name = f"{root}/.{shard:08d}-{uuid.uuid4().hex}"
-                    open_ = [shard, name, files.open_output_stream(name), 0, 0]
-                ids = np.frombuffer(expand.decompress(packed), "<u2")
-                record = np.concatenate((ids, np.full(length - len(ids), PAD, "<u2"))).tobytes()
-                if slot != shard * per_shard + open_[3]:
-                    raise ValueError(f"slot {slot} doesn't follow in its shard")
-                open_[2].write(record)
-                open_[3] += 1
-                open_[4] = zlib.crc32(record, open_[4])
-            yield rows(batch.num_rows, **{c: batch[c] for c in ("slot", "doc_id", "part", "tokens")})
-        if open_ is not None:
-            yield close()
+            for shard, n, listed, ids in zip(*(batch[c].to_pylist() for c in ("shard", "n", "listed", "ids"))):
+                if blocks and shard != open_:
+                    yield from close(open_, blocks)
+                    blocks = []
+                open_ = shard
+                blocks.append((_sequences_of(expand.decompress(listed), n), ids))
+        if blocks:
+            yield from close(open_, blocks)
 
     return run
 
@@ -145,20 +248,24 @@ def write_training_order(
     """Writes the shards; returns the index (``slot, doc_id, part, tokens``) and the list of shards with checksums."""
     spark = docs.sparkSession
     read = docs.select(F.col(identity).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    cut = read.mapInArrow(_sequences(path or default_vocabulary(), length, end_token), "doc_id long, part int, tokens int, ids binary")
-    stored = store(cut.withColumn("at", F.monotonically_increasing_id()), "sequences")
-    placed = stored.withColumns({"home": F.shiftright("at", ROW_BITS), "nth": F.col("at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))})
-    counts = placed.groupBy("home").agg(F.count("*").alias("n"))
+    scratch = Scratch(spark)
+    cut = read.mapInArrow(_sequences(path or default_vocabulary(), length, end_token), BLOCKS)
+    stored = scratch.store(cut.withColumn("home", F.spark_partition_id()), "sequences")
+    counts = stored.groupBy("home").agg(F.sum("n").alias("n"))
     before = counts.select("home", F.coalesce(F.sum("n").over(Window.orderBy("home").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     total = counts.agg(F.sum("n")).first()[0] or 0
     # One row for each partition that wrote the table.
-    numbered = placed.join(F.broadcast(before), "home").select("doc_id", "part", "tokens", "ids", (F.col("before") + F.col("nth")).alias("number"))
-    slots = permuted(numbered, "number", max(1, total), key).drop("number")
+    placed = stored.join(F.broadcast(before), "home").withColumn("base", F.col("before") + F.col("first"))
+    # A block's ids stay with its first sequence; rows keep their order up to the task that deals them.
+    sequence = F.transform(F.arrays_zip("doc_id", "part", "tokens"), lambda s, i: F.struct(s["doc_id"], s["part"], s["tokens"], F.when(i == 0, F.col("ids")).alias("ids")))
+    numbered = placed.select("base", F.posexplode(sequence).alias("nth", "s")).select("s.doc_id", "s.part", "s.tokens", "s.ids", (F.col("base") + F.col("nth")).alias("number"))
+    slots = permuted(numbered, "number", max(1, total), key).select("slot", "doc_id", "part", "tokens", "ids")
     # Ranges of slots, which are known without a sample: a shard for each partition.
     shards = max(1, -(-total // per_shard))
-    dealt = slots.repartitionById(shards, F.floor(F.col("slot") / per_shard).cast("int")).sortWithinPartitions("slot")
+    dealt = slots.mapInArrow(_deal(per_shard, HELD), DEALT).repartitionById(shards, "shard").sortWithinPartitions("shard")
     kind = "shard long, slot long, doc_id long, part int, tokens int, first_slot long, sequences long, crc32 long"
-    written = store(dealt.select("slot", "doc_id", "part", "tokens", "ids").mapInArrow(_write(folder, length, per_shard), kind), "manifest")
+    written = store(dealt.mapInArrow(_write(folder, length, per_shard), kind), "manifest")
+    scratch.clear()
     index = written.where("slot is not null").select("slot", "doc_id", "part", "tokens")
     return index, written.where("shard is not null").select("shard", "first_slot", "sequences", "crc32")
 

@@ -1,4 +1,4 @@
-"""Words tokenised together and texts scored a slice at a time."""
+"""Words tokenised together, texts scored a slice at a time, and token ids compressed in blocks."""
 
 import random
 from types import SimpleNamespace
@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from clinloom.llm import langid, packing
+from clinloom.llm import langid, packing, token_shards
+from clinloom.session import scratch_dir
 
 
 def word(rng):
@@ -54,3 +55,30 @@ def test_texts_are_scored_a_slice_at_a_time(inside):
     assert len(out) >= 4 and [i for b in out for i in b["row"].field("id").to_pylist()] == list(range(16))
     assert [x for b in out for x in b["lang_pred"].to_pylist()] == ["de", "en", "und", "de"] * 4
     assert max(packing.pc.sum(packing.pc.binary_length(b["row"].field("body"))).as_py() for b in out) <= packing.SLICE_BYTES
+
+
+def test_ids_are_compressed_in_blocks():
+    rng = random.Random(2)
+    known = [word(rng) for _ in range(300)]
+    texts = [" ".join(rng.choice(known[: rng.randrange(1, 300)]) for _ in range(3000)) for _ in range(40)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(40)), "text": pa.array(texts)})
+    out = list(token_shards._sequences(packing.default_vocabulary(), 256, 0)(iter([batch])))
+    raw = 2 * sum(len(ids) + 1 for ids in packing.Tokens(packing.default_vocabulary()).of(pa.array(texts)))
+    assert sum(len(ids) for b in out for ids in b["ids"].to_pylist()) < 0.5 * raw
+
+
+def test_shards_do_not_depend_on_what_a_task_holds(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i % 90 if i % 7 else None, None if i % 31 == 0 else " ".join(word(rng) for _ in range(rng.randrange(60)))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+
+    def written():
+        folder = scratch_dir(spark, "shards")
+        index, manifest = token_shards.write_training_order(docs, folder, length=16, per_shard=50)
+        read = token_shards.read_slots(spark, folder, manifest, 16).collect()
+        return sorted(map(tuple, index.collect())), sorted(map(tuple, manifest.collect())), sorted((r.slot, bytes(r.ids)) for r in read)
+
+    whole = written()
+    assert [s for s, *_ in whole[0]] == list(range(len(whole[0]))) and len(whole[1]) > 5
+    monkeypatch.setattr(token_shards, "HELD", 100)
+    assert written() == whole
