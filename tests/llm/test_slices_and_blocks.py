@@ -1,13 +1,14 @@
-"""Words tokenised together, texts scored a slice at a time, and token ids compressed in blocks."""
+"""Words tokenised together, texts scored and shingled a slice at a time, and token ids compressed in blocks."""
 
 import random
+import tracemalloc
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from clinloom.llm import langid, packing, token_shards
+from clinloom.llm import langid, minhash, packing, token_shards
 from clinloom.session import scratch_dir
 
 
@@ -82,3 +83,25 @@ def test_shards_do_not_depend_on_what_a_task_holds(spark, monkeypatch):
     assert [s for s, *_ in whole[0]] == list(range(len(whole[0]))) and len(whole[1]) > 5
     monkeypatch.setattr(token_shards, "HELD", 100)
     assert written() == whole
+
+
+def test_batches_are_signed_described_and_confirmed_a_part_at_a_time():
+    rng = random.Random(4)
+    texts = [" ".join(word(rng) for _ in range(rng.choice([0, 3, 30]))) if i % 50 else None for i in range(1999)] + ["long text " * 200_000]
+    keys = pa.array([i.to_bytes(16, "big") for i in range(len(texts))])
+    batch = pa.RecordBatch.from_pydict({"id": range(len(texts)), "text_key": keys, "class": keys, "a": keys, "b": keys} | {t: pa.array(texts) for t in ("text", "text_a", "text_b")})
+    sets = [minhash.shingle_set(t, 5, minhash.WordHashes()) for t in texts]
+    peaks = {}
+    for name, step in (("sign", minhash._sign(5)), ("describe", minhash._describe(5))):
+        tracemalloc.start()
+        rows = 0
+        for out in step(iter([batch])):
+            assert out["n"].to_pylist() == [len(s) for s in sets[rows : rows + out.num_rows]] and out.num_rows <= 256
+            rows += out.num_rows
+        peaks[name] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == len(texts)
+    # Sketches of all rows at once are 33 MB, several times over while they are made.
+    assert peaks["describe"] < 80e6
+    found = list(minhash._confirm(5, 80)(iter([batch.slice(1, 40), batch.slice(1900)])))
+    assert len(found) > 2 and [a for out in found for a in out["a"].to_pylist()] == [k for i, k in enumerate(keys.to_pylist()) if 1 <= i <= 40 or i >= 1900]
