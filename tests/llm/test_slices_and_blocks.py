@@ -105,3 +105,29 @@ def test_batches_are_signed_described_and_confirmed_a_part_at_a_time():
     assert peaks["describe"] < 80e6
     found = list(minhash._confirm(5, 80)(iter([batch.slice(1, 40), batch.slice(1900)])))
     assert len(found) > 2 and [a for out in found for a in out["a"].to_pylist()] == [k for i, k in enumerate(keys.to_pylist()) if 1 <= i <= 40 or i >= 1900]
+
+
+class Reading(Counting):
+    """A tokenizer that counts the characters it is given."""
+
+    def encode_batch_fast(self, texts, **settings):
+        self.texts += sum(map(len, texts))
+        return self.model.encode_batch_fast(texts, **settings)
+
+
+def test_words_are_tokenised_once_whatever_marks_and_lines_follow():
+    rng, own = random.Random(5), packing.Tokens(packing.default_vocabulary())
+    whole, own.model = own.model, Reading(own.model)
+    known = ["".join(rng.choice("aeinorstlé") for _ in range(8)) for _ in range(200)]
+    texts = ["".join(rng.choice(known) + rng.choice([" ", ", ", ". ", "!! ", ".\n", ";\n"]) for _ in range(400)).strip() for _ in range(50)]
+    assert [ids.tolist() for ids in own.of(pa.array(texts))] == [whole.encode(t).ids for t in texts]
+    # Each word after a space, after a new line and as a text's first, and the marks.
+    assert own.model.texts < 5000
+
+
+def test_texts_are_cut_only_where_the_pattern_cuts_them():
+    rng, own = random.Random(6), packing.Tokens(packing.default_vocabulary())
+    parts = [" ", " ", "\n", "\n\n", "\t", "\r\n", "\x00", "\x85", "\x1c", "a", "the.", "Thé", "日:", "'s", "1", "0.5", "!?", " .", ".x", "😀", "е.", "ɏ!", "\u0301", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(5000)] + ["", None, "\n", "a\n", "a \nb", "\na"]
+    want = [e.ids for e in own.model.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+    assert [ids.tolist() for at in range(0, len(texts), 500) for ids in own.of(pa.array(texts[at : at + 500], pa.string()))] == want
