@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from clinloom.llm import langid, minhash, packing, token_shards
+from clinloom.llm.queries import QUERIES
 from clinloom.session import scratch_dir
 
 
@@ -85,6 +86,16 @@ def test_shards_do_not_depend_on_what_a_task_holds(spark, monkeypatch):
     assert written() == whole
 
 
+def test_sequences_that_are_read_back_are_not_broadcast(spark, tmp_path):
+    texts = [(i, " ".join(word(random.Random(i)) for _ in range(300))) for i in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    joined = QUERIES["op1_token_shards"](spark, str(tmp_path))
+    assert len(joined.collect()) == joined.select("slot").distinct().count() > 60
+    # The plan that ran: sizes are known only while it runs.
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_batches_are_signed_described_and_confirmed_a_part_at_a_time():
     rng = random.Random(4)
     texts = [" ".join(word(rng) for _ in range(rng.choice([0, 3, 30]))) if i % 50 else None for i in range(1999)] + ["long text " * 200_000]
