@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clinloom.operators.store import TableStore
 from clinloom.plans import jobs
 from clinloom.sources.mllp import write_messages
+from clinloom.sources.schemas import RELATIONAL
 from clinloom.streaming.hl7_feed import current_tables, message_log, start_feed
 from clinloom.streaming.hl7_tables import start_tables
 from testbed.bed import Bed
@@ -59,6 +60,19 @@ def test_nothing_is_kept_twice_once_a_batch_has_landed(spark, tmp_path):
     assert not any(files for part in ("state/pieces", "state-tables/batch", "state-tables/rows") for _, _, files in os.walk(tmp_path / part))
 
 
+def test_tagged_rows_go_once_they_are_loaded(spark, tmp_path):
+    day = dt.datetime(2024, 1, 1)
+    for name in RELATIONAL:
+        spark.createDataFrame([], RELATIONAL[name]).write.parquet(f"{tmp_path}/extracts/{name}")
+    state = spark.createDataFrame([("s1", "01", "Ohio", None, 7, day, day), ("s2", "01", "Iowa", None, 7, day, day)], RELATIONAL["states"])
+    state.write.mode("overwrite").parquet(f"{tmp_path}/extracts/states")
+    store, shared = TableStore(spark, f"{tmp_path}/warehouse"), spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    loaded = jobs.load_source(spark, "oltp", jobs.Places(extracts=f"{tmp_path}/extracts"), store, dt.datetime(2026, 1, 1))
+    assert not set(os.listdir(shared)) - before
+    assert [r.id for r in loaded["states"].collect()] == ["s1"] and raw(store, jobs.QUARANTINE).count() == 1
+
+
 def test_a_new_checkpoint_neither_replaces_nor_hides_messages(spark, tmp_path):
     landing, log = f"{tmp_path}/landing", f"{tmp_path}/log"
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -188,8 +189,6 @@ def test_state_is_bounded_by_the_horizon(feed):
     feed.land("one", *(adt(str(i)) for i in range(50)))
     held = feed.load(horizon="1 second")
     assert held.recentProgress[-1].stateOperators[0].numRowsTotal <= 50
-    import time
-
     for name in ("two", "three"):
         time.sleep(2.5)
         feed.land(name, adt(name))
@@ -236,6 +235,53 @@ def test_rejects_are_an_output_with_reasons(feed):
     assert kept == [("", "", unknown), ("2", "ZZZ", unknown), ("2", "ZZZ", unknown), ("7", "ADT^A01", "PID missing or short")]
 
 
+# Disk
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def left_over(spark, before):
+    """Shuffle files that are new and stay; they are deleted in the background."""
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_shuffles_go_with_the_step_that_made_them(spark, rows, table, tmp_path):
+    new, parent = batch(spark, *((i, "x", "old", 1) for i in range(30))), spark.createDataFrame([(1,), (2,)], "key int")
+    before = shuffle_files(spark)
+    table.upsert(new, ["at"])
+    table.upsert(new, ["at"], newer_only=True)
+    TableStore(spark, str(tmp_path)).write(new.repartition(3, "a"), "s", "t")
+    accepted, others = split(new, "t", [Rule("t", "a", "unique"), Rule("t", "a", "relationships", parent="p", parent_column="key")], ["a", "b"], {"p": parent}, f"{tmp_path}/tagged")
+    assert not left_over(spark, before)
+    # Frames that are not written here can run again.
+    assert [accepted.count(), others.count(), accepted.count()] == [2, 28, 2]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_stream_keeps_neither_its_shuffle_nor_messages_that_are_parsed(feed, monkeypatch):
+    broken = adt("7").replace("\nPID|1||M||Doe^J||19800101|F", "")
+    feed.land("one", adt("1"), adt("2", kind="ADT^A03"), adt("3", kind="ZZZ"), broken)
+    before, upsert, seen = shuffle_files(feed.spark), BucketedTable.upsert, []
+
+    def looking(self, *args, **options):
+        held = {name for name in ("hl7_admissions", "hl7_discharges") if os.path.exists(f"{feed.base}/tables/batch/route={name}")}
+        seen.append((self.table, left_over(feed.spark, before), held))
+        return upsert(self, *args, **options)
+
+    monkeypatch.setattr(buckets_module.BucketedTable, "upsert", looking)
+    feed.load()
+    assert seen == [("hl7_admissions", set(), {"hl7_discharges"}), ("hl7_discharges", set(), set()), (REJECTS, set(), set())]
+    feed.same_as_the_log()
+    assert sorted(r[0] for r in feed.rows(REJECTS)) == ["3", "7"]
+
+
 # Quarantine
 
 
