@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.functions import avg_exact, hours_between, labelled, literal_date, packed_id, whole_days
+from clinloom.functions import avg_exact, hours_between, labelled, literal_date, packed_id, unpacked_id, whole_days
 from clinloom.operators.distinct import distinct_counts
 from clinloom.operators.joins import left_join_many
 from clinloom.operators.spine import densify
@@ -66,19 +66,28 @@ def int_case_review_status(
 ) -> DataFrame:
     """One row for each case and review; a case without review has one row.
 
-    The provider is looked up for the cases, before their reviews multiply them.
+    The provider is looked up for the cases, before their reviews multiply them. Ids are packed for both joins.
     """
     own, found = _case_columns(cases), _review_columns(reviews)
-    assigned = own.join(providers.select("provider_id", "supervising_physician_id", "provider_type", "state_id"), "provider_id", "left")
-    rows = left_join_many(assigned, found, ["case_id"]).select(
+    lookup = _packed(providers.select("provider_id", "supervising_physician_id", "provider_type", "state_id"))
+    assigned = _packed(own).join(lookup, "provider_id", "left")
+    rows = left_join_many(assigned, _packed(found), ["case_id"])
+    columns = [
         "case_id",
         "provider_id",
         *[c for c in (*own.columns, *found.columns) if c not in ("case_id", "provider_id")],
         "supervising_physician_id",
         "provider_type",
         "state_id",
-    )
-    return _with_review_measures(rows, as_of)
+    ]
+    return _with_review_measures(rows.select(*[unpacked_id(c).alias(c) if c in IDS else c for c in columns]), as_of)
+
+
+IDS = ("case_id", "provider_id", "review_id", "physician_id", "supervising_physician_id", "state_id")
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: packed_id(c) for c in rows.columns if c in IDS})
 
 
 def supervisors(providers: DataFrame) -> DataFrame:

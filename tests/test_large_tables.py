@@ -36,6 +36,26 @@ def test_reviews_are_joined_and_grouped_by_packed_ids(spark):
     assert sorted((r.physician_id, r.date_key, r.cases_overdue) for r in found.collect()) == [(UUID("c"), day, 1), ("doc", day, 2)]
 
 
+def test_cases_and_reviews_are_joined_by_packed_ids(spark, rows):
+    day = dt.date(2024, 1, 3)
+    cases = spark.createDataFrame(
+        [(UUID(1), UUID(2), "m"), (UUID(1).upper(), "p2", "m"), ("c3", UUID(2).upper(), None), ("c3", None, "twice"), (None, UUID(2), "none"), ("c5", "lost", "m")],
+        "case_id string, provider_id string, patient_mrn string",
+    ).selectExpr("*", "'x' case_type", "'open' status", "'low' priority", "timestamp_ntz'2024-01-01' created_at", "cast(null as timestamp_ntz) closed_at")
+    reviews = spark.createDataFrame(
+        [("r1", UUID(1), UUID("c"), day), (UUID("r"), UUID(1), None, day), ("r3", "c3", "doc", None), (None, UUID(1).upper(), "doc", day), ("r5", None, "doc", day), ("r6", "gone", "doc", day)],
+        "review_id string, case_id string, physician_id string, review_date date",
+    ).selectExpr("*", "'overdue' review_status", "review_date due_date", "cast(null as timestamp_ntz) completed_at")
+    providers = spark.createDataFrame([(UUID(2), UUID("d"), "NP", UUID("e")), ("p2", "boss", "PA", None), (None, "none", "NP", "s")], "provider_id string, supervising_physician_id string, provider_type string, state_id string")
+    found = intermediate.int_case_review_status(cases, reviews, providers, "2024-01-05")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("unhex(replace(case_id") > 1 and "unhex(replace(review_id" in plan and "unhex(replace(provider_id" in plan
+    want = cases.join(providers, "provider_id", "left").join(reviews.select("case_id", "review_id", "physician_id", "review_date", F.lit(True).alias("met")), "case_id", "left")
+    columns = ["case_id", "provider_id", "patient_mrn", "review_id", "physician_id", "review_date", "supervising_physician_id", "provider_type", "state_id"]
+    assert rows(found.select(columns)) == rows(want.select(columns)) and found.count() == 7
+    assert dict(found.dtypes) | {c: "string" for c in intermediate.IDS} == dict(found.dtypes)
+
+
 RULES = [
     Rule("t", "id", "unique"),
     Rule("t", "boss", "relationships", parent="p", parent_column="key"),
