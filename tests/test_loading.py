@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import time
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -282,6 +283,19 @@ def test_a_stream_keeps_neither_its_shuffle_nor_messages_that_are_parsed(feed, m
     assert sorted(r[0] for r in feed.rows(REJECTS)) == ["3", "7"]
 
 
+def test_messages_land_and_are_remembered_in_little_space(feed, tmp_path):
+    messages = [adt(str(i), f"Name{i % 7}", kind=("ADT^A01", "ADT^A03", "ZZZ")[i % 3]) for i in range(3000)]
+    feed.land("one", *messages)
+    sent = sum(os.path.getsize(tmp_path / "landing/one" / f) for f in os.listdir(tmp_path / "landing/one") if f.endswith(".gz"))
+    assert sent < 0.95 * len(zlib.compress("\x1c\r".join("\x0b" + m for m in messages).encode(), 1))
+    fresh = hl7_tables.fresh_messages(feed.spark, f"{feed.base}/log")
+    # Rows are alike up to their ends, for the shuffle.
+    assert fresh.columns[-3:] == ["control_id", "digest", "message"] and sorted(fresh.columns) == sorted([*message_log(feed.spark, f"{feed.base}/log").columns, "digest"])
+    assert feed.spark.conf.get("spark.sql.streaming.stateStore.rocksdb.compression") == "zstd"
+    feed.load()
+    feed.same_as_the_log()
+
+
 # Quarantine
 
 
