@@ -13,6 +13,7 @@ from clinloom.operators.buckets import BucketedTable, newest
 from clinloom.operators.quality import Rule
 from clinloom.operators.quarantine import split, with_reasons
 from clinloom.operators.store import TableStore
+from clinloom.session import SHUFFLE_CLEANUP, passing_shuffles
 from clinloom.streaming import hl7_tables
 from clinloom.streaming.hl7_feed import current_tables, message_log, start_feed
 from clinloom.streaming.hl7_tables import REJECTS, start_tables, target
@@ -263,7 +264,23 @@ def test_shuffles_go_with_the_step_that_made_them(spark, rows, table, tmp_path):
     assert not left_over(spark, before)
     # Frames that are not written here can run again.
     assert [accepted.count(), others.count(), accepted.count()] == [2, 28, 2]
-    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_shuffles_pass_until_the_last_step_has_ended(spark):
+    before = shuffle_files(spark)
+    one, other = passing_shuffles(spark), passing_shuffles(spark)
+    one.__enter__()
+    other.__enter__()
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    found = sorted(counted.collect())
+    assert len(found) == 7 and not left_over(spark, before)
+    one.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    other.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    # A frame that runs again makes its shuffles again.
+    assert sorted(counted.collect()) == found and counted.count() == 7
 
 
 def test_a_stream_keeps_neither_its_shuffle_nor_messages_that_are_parsed(feed, monkeypatch):
